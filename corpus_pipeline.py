@@ -13,7 +13,7 @@ from gridspark.llm import decontamination, jaccard_join, language_id, packing, s
 from gridspark.llm.storage import stored
 
 #: Least score of a language; texts below it have none and go.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 #: Word shingles and similarity of near copies.
 SHINGLE, SIMILARITY = 5, "0.8"
 
