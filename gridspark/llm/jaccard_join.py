@@ -38,7 +38,7 @@ BUCKET_BYTES = 16 << 20
 TASK_COUNT, TOTAL_COUNT, FREQUENT = 8, 48, 200_000
 #: Rows of 16 bytes up to which a table of ids is broadcast to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 500_000
-_NULL_ID = -(1 << 63)
+_NULL_ID = (1 << 63) - 1  # after every other id
 
 
 def shingle_sets(texts: list[bytes | None], n: int, table: bytes) -> tuple[np.ndarray, np.ndarray]:
