@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import light_batches, stored
 from .text import ALNUM, slices, utf8, words
 
 #: Bytes of text in a shard, and of test texts in a block of queries (what is broadcast at once).
@@ -68,7 +68,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             )
             shard += 1
 
-    return docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _INDEX)
+    return light_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _INDEX)
 
 
 def _loaded(row: dict, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import stored
+from .storage import light_batches, stored
 from .text import BLANK, BLANK_LOWER, gram_hashes, joined, slices
 
-_PART_BYTES = 4 << 20
+_PART_BYTES = 2 << 20
 #: Bytes of text for a bucket of postings.
 BUCKET_BYTES = 16 << 20
 #: A shingle counts as frequent from so many documents in one task and in all, and so many frequent ones are ordered by count.
@@ -60,7 +60,7 @@ def shingle_sets(texts: list[bytes | None], n: int, table: bytes) -> tuple[np.nd
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    return light_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def _digest(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import light_batches
 from .text import slices, utf8
 
 WINDOW, WIDTHS, FILTERS = 128, (2, 3, 4), 16
 #: Bounds of the training sample: rows of a language (expected) and in all, and windows taken from a row.
 SAMPLE_PER_LANG, SAMPLE_ROWS, SAMPLE_WINDOWS = 700, 8000, 3
 STEPS, BATCH, SEED = 700, 96, 7
-_PART_BYTES = 1 << 20
+_PART_BYTES = 1 << 19
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -131,7 +132,7 @@ def identify(docs: DataFrame, network: Network, text_col: str = "text", keep: bo
     sent = docs.sparkSession.sparkContext.broadcast(network)
     columns = [F.col(c) for c in docs.columns if c not in ("lang_pred", "score")] if keep else [F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")]
     text = text_col if keep else "text"
-    rows = docs.select(*columns, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has_letter_"))
+    rows = light_batches(docs).select(*columns, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has_letter_"))
     names = [c for c in rows.columns if c != "has_letter_" and (keep or c != "text")]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) + ", lang_pred string, score double"
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import light_batches
 from .text import ALNUM, slices, utf8, words
 
 #: The base phrases and their labels.
@@ -139,4 +140,4 @@ def scan_licenses(docs: DataFrame, templates: dict | None = None, base: dict[str
                 rows.append((doc_id, len(docs_words[d]), len(own), min(at, default=None), max(at, default=None), ",".join(sorted(base_labels)), ",".join(sorted(labels)), score))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()], strict=True)], [c.split()[0] for c in _FOUND.split(", ")])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _FOUND)
+    return light_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _FOUND)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import light_batches
 from .bpe import as_bytes, token_ids
 
 CAPACITY = 2048
@@ -50,7 +51,7 @@ def token_pieces(docs: DataFrame, path: str, ranks: str, capacity: int = CAPACIT
                     start, piece, length = start + length, piece + 1, capacity
             yield pa.RecordBatch.from_pydict(dict(zip(names, out, strict=True)), pa.schema([pa.field(n, {"piece": pa.int32(), "ids": pa.binary()}.get(n, pa.int64())) for n in names]))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return light_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple[float, float, float], rule: str = "norm") -> np.ndarray:

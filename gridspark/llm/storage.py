@@ -23,3 +23,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+def light_batches(df: DataFrame) -> DataFrame:
+    """Small Arrow batches for the session: rows hold whole texts, and both sides of the exchange keep a batch in memory."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df

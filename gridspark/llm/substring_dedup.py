@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import light_batches
 from .text import BLANK, gram_hashes, joined, slices
 
 #: Period and difference cover: every difference modulo 13 is one of two of these places. An anchor has n - 12 words.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-_PART_BYTES = 4 << 20
+_PART_BYTES = 3 << 20
 #: Bytes of text for a bucket of hashes and for a group of documents.
-BUCKET_BYTES, GROUP_BYTES = 12 << 20, 12 << 20
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 6 << 20
 _RECORDS = "bucket int, kind int, doc binary, tag binary, at binary, size binary, hash binary, check binary"
 _MARKS = "part int, doc binary, tag binary, at binary, size binary"
 _SEED = 0x9E6C63D0876A9A47
@@ -221,7 +222,7 @@ def dedup_substrings(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_
     least = -(1 << 63)
     others = [c for c in docs.columns if c not in (id_col, text_col)] if keep_text else []
     doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id")
-    base = docs.select(doc_id, F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 16)).cast("int").alias("tag"), F.col(id_col).alias("id_"), *(F.struct(*others).alias("others_") for _ in others[:1]))
+    base = light_batches(docs).select(doc_id, F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 16)).cast("int").alias("tag"), F.col(id_col).alias("id_"), *(F.struct(*others).alias("others_") for _ in others[:1]))
     def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = _doc_part(batch.column("doc_id").to_numpy(), parts).astype(np.int32)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import light_batches
 from .bpe import Counter, encoded
 
 #: Bounds of the frequent table: rows of the sample it is taken from, and entries. They are the cache's warm start only.
@@ -55,5 +56,5 @@ def count_tokens(docs: DataFrame, path: str, ranks: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(np.asarray(n, np.int64))], ["doc_id", "n_bytes", "n_tokens"])
 
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), text.alias("text"))
+    rows = light_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), text.alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
