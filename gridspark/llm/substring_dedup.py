@@ -16,7 +16,8 @@ equal starts in them are not earlier than each other; a null id comes first; col
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import light_batches
-from .text import BLANK, gram_hashes, joined, slices
+from .text import BLANK, gram_hashes, joined, release, slices
 
 #: Period and difference cover: every difference modulo 13 is one of two of these places. An anchor has n - 12 words.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 _PART_BYTES = 3 << 20
 #: Bytes of text for a bucket of hashes and for a group of documents.
-BUCKET_BYTES, GROUP_BYTES = 8 << 20, 6 << 20
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 4 << 20
 _RECORDS = "bucket int, kind int, doc binary, tag binary, at binary, size binary, hash binary, check binary"
 _MARKS = "part int, doc binary, tag binary, at binary, size binary"
 _SEED = 0x9E6C63D0876A9A47
@@ -67,6 +68,17 @@ def _runs(doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     return doc[first], tag[first], at[first], np.diff(np.append(first, len(at)))
 
 
+def _released(run: Callable) -> Callable:
+    @wraps(run)  # Spark counts the function's arguments
+    def then(*tables: pa.Table) -> pa.Table:
+        try:
+            return run(*tables)
+        finally:
+            release()
+
+    return then
+
+
 def _texts(table: pa.Table | pa.RecordBatch) -> list[bytes | None]:
     return table.column("text").cast(pa.binary()).to_pylist()
 
@@ -137,7 +149,7 @@ def _repeated(records: DataFrame, parts: int) -> DataFrame:
         rows = _sent_back(parts, doc[hit], tag[hit], at[hit], np.ones(len(hit)))
         return pa.Table.from_batches([_batch(rows + _passed_on(table, parts), _MARKS)])
 
-    return records.groupBy("bucket").applyInArrow(run, _MARKS)
+    return records.groupBy("bucket").applyInArrow(_released(run), _MARKS)
 
 
 def _marked(texts: pa.Table, marks: pa.Table, counts: np.ndarray, before: int, after: int) -> np.ndarray:
@@ -190,7 +202,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, n: int, buckets: int) -> DataF
         rows += _packed(_doc_part(d, buckets), 1, d, t, a, size, None, None)
         return pa.Table.from_batches([_batch(rows, _RECORDS)])
 
-    return docs.groupBy("part").cogroup(anchors.groupBy("part")).applyInArrow(run, _RECORDS)
+    return docs.groupBy("part").cogroup(anchors.groupBy("part")).applyInArrow(_released(run), _RECORDS)
 
 
 def _later(records: DataFrame, parts: int) -> DataFrame:
@@ -207,7 +219,7 @@ def _later(records: DataFrame, parts: int) -> DataFrame:
         rows = _sent_back(parts, *_runs(doc[hit], tag[hit], at[hit].astype(np.int64)))
         return pa.Table.from_batches([_batch(rows + _passed_on(table, parts), _MARKS)])
 
-    return records.groupBy("bucket").applyInArrow(run, _MARKS)
+    return records.groupBy("bucket").applyInArrow(_released(run), _MARKS)
 
 
 def dedup_substrings(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -255,7 +267,7 @@ def dedup_substrings(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_
             return pa.Table.from_arrays([*head, *tail], ["id_", "text", *(["others_"] if others else []), "n_words", "n_removed"])
         return pa.Table.from_arrays([own.column("id_"), *tail, pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], ["id_", "n_words", "n_removed", "kept_sha256"])
 
-    out = texts.groupBy("part").cogroup(later.groupBy("part")).applyInArrow(cut, schema)
+    out = texts.groupBy("part").cogroup(later.groupBy("part")).applyInArrow(_released(cut), schema)
     if not keep_text:
         return out.select(F.col("id_").cast("long").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
     columns = {id_col: F.col("id_"), text_col: F.col("text")} | {c: F.col("others_").getField(c) for c in others}

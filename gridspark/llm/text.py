@@ -5,6 +5,7 @@ The words of the contracts are separated by ASCII bytes only, so they can be cut
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             total += size
         if start < len(sizes):
             yield batch.slice(start)
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system: idle workers are kept, and would keep the most that they ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
@@ -48,7 +58,7 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
 # Hashes of words and of word sequences, for a whole batch at once in numpy. All arithmetic is modulo 2**64.
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -117,7 +127,6 @@ def joined(texts: list[bytes | None], table: bytes) -> tuple[np.ndarray, np.ndar
     hashes = word_hashes(b" ".join(parts))
     data = np.frombuffer(b" ".join([*parts, b""]), np.uint8)
     ends = np.cumsum([len(p) + 1 for p in parts]) if parts else np.zeros(0, np.int64)
-    starts = np.zeros(len(data) + 1, np.int64)
     gap = data == 0x20
-    np.cumsum(~gap & np.concatenate(([True], gap[:-1])), out=starts[1:])
-    return hashes, np.diff(starts[ends], prepend=0)
+    first = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+    return hashes, np.diff(np.searchsorted(first, ends), prepend=0)
