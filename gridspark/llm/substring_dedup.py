@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -69,10 +68,21 @@ def _runs(doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
 
 
 def _released(run: Callable) -> Callable:
-    @wraps(run)  # Spark counts the function's arguments
-    def then(*tables: pa.Table) -> pa.Table:
+    """``run`` for one table, handing freed memory back afterwards."""
+
+    def then(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            release()
+
+    return then
+
+
+def _both_released(run: Callable) -> Callable:
+    def then(left: pa.Table, right: pa.Table) -> pa.Table:
         try:
-            return run(*tables)
+            return run(left, right)
         finally:
             release()
 
@@ -202,7 +212,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, n: int, buckets: int) -> DataF
         rows += _packed(_doc_part(d, buckets), 1, d, t, a, size, None, None)
         return pa.Table.from_batches([_batch(rows, _RECORDS)])
 
-    return docs.groupBy("part").cogroup(anchors.groupBy("part")).applyInArrow(_released(run), _RECORDS)
+    return docs.groupBy("part").cogroup(anchors.groupBy("part")).applyInArrow(_both_released(run), _RECORDS)
 
 
 def _later(records: DataFrame, parts: int) -> DataFrame:
@@ -267,7 +277,7 @@ def dedup_substrings(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_
             return pa.Table.from_arrays([*head, *tail], ["id_", "text", *(["others_"] if others else []), "n_words", "n_removed"])
         return pa.Table.from_arrays([own.column("id_"), *tail, pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], ["id_", "n_words", "n_removed", "kept_sha256"])
 
-    out = texts.groupBy("part").cogroup(later.groupBy("part")).applyInArrow(_released(cut), schema)
+    out = texts.groupBy("part").cogroup(later.groupBy("part")).applyInArrow(_both_released(cut), schema)
     if not keep_text:
         return out.select(F.col("id_").cast("long").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
     columns = {id_col: F.col("id_"), text_col: F.col("text")} | {c: F.col("others_").getField(c) for c in others}
