@@ -538,3 +538,6 @@ def stream_sessions(spark, sf_dir):
 @_query("SELECT user_id, max(ts) AS ts, max_by(event_id, ts) AS event_id, max_by(value, ts) AS value FROM events GROUP BY ALL")
 def stream_latest(spark, sf_dir):
     return jobs.collected(spark, jobs.latest(jobs.read_table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id", "value"]), "complete")
+
+
+from . import reports  # noqa: E402, F401  (adds its queries)

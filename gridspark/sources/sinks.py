@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.snapshots import insert_if_absent, upsert
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")).rstrip("/")
+
+
 def _months(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumn("month", F.date_format(ts_col, "yyyy-MM"))
 
