@@ -259,7 +259,8 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     across = across.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.when(F.col("x") < F.col("y"), F.col("n_x")).otherwise(F.col("n_y")).alias("n_x"), F.when(F.col("x") < F.col("y"), F.col("n_y")).otherwise(F.col("n_x")).alias("n_y")).agg(F.count("*").alias("shared")).filter(_reaches(t))
     more = _verified(rows, across, n, table, t)
     every = links.unionByName(more).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    final = components(every)
+    grown = found.select(F.col("component").alias("x"), F.col("doc_id").alias("y")).unionByName(more)  # the first closure stands for its links
+    final = found if more.isEmpty() else components(grown)
     degree = every.select(F.explode(F.array("x", "y")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
 
     label = classes.join(final.withColumnRenamed("doc_id", "rep"), "rep", "left").join(degree, "rep", "left")
