@@ -167,10 +167,11 @@ def _verified(rows: DataFrame, pairs: DataFrame, n: int, table: bytes, t: Fracti
     pairs = stored(pairs.select("x", "y"), "pairs")
     n_pairs = pairs.count()
     per_x = pairs.groupBy("x").agg(F.count("*").alias("m"))
-    salt = lambda c: F.pmod(F.xxhash64(c), F.col("m") / 64 + 1).cast("int")
+    parts_of = (F.col("m") / 64).cast("int") + 1  # salts of x, the same for members and leaders
+    salt = lambda c: F.pmod(F.xxhash64(c), parts_of).cast("int")
     spread = pairs.join(F.broadcast(per_x) if n_pairs <= BROADCAST_ROWS else per_x, "x")
     members = spread.select(F.col("y").alias("doc_id"), "x", salt("y").alias("salt"), F.lit(1).alias("side"))
-    leaders = per_x.select(F.col("x").alias("doc_id"), "x", F.explode(F.sequence(F.lit(0), (F.col("m") / 64).cast("int"))).alias("salt"), F.lit(0).alias("side"))
+    leaders = per_x.select(F.col("x").alias("doc_id"), "x", F.explode(F.sequence(F.lit(0), parts_of - 1)).alias("salt"), F.lit(0).alias("side"))
     wanted = members.unionByName(leaders)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     meeting = _texts_of(rows, wanted, 2 * n_pairs).repartition(parts, "x", "salt").sortWithinPartitions("x", "salt", "side")

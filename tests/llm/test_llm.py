@@ -187,6 +187,26 @@ def test_jaccard(docs, empty):
     assert jaccard_join.similarity_classes(empty).count() == 0
 
 
+def test_jaccard_compares_every_candidate(spark):
+    """Isolated pairs and groups of many sizes: a partner that meets no leader would be lost."""
+    rng, texts = random.Random(11), []
+    for size in [2] * 400 + [3, 5, 10, 32, 33, 63, 64, 65, 100, 130]:
+        base = [f"w{rng.randrange(10**9)}" for _ in range(150)]
+        texts += [" ".join([*base[:k], "q", *base[k + 1 :]]) for k in (range(size) if size > 2 else (20, 90))]
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in map(str.split, texts)]
+    holds, least = {}, list(range(len(sets)))
+    for i, own in enumerate(sets):
+        for j in {j for g in own for j in holds.get(g, ())}:
+            if len(own & sets[j]) >= 0.85 * len(own | sets[j]):
+                a, b = sorted((least[i], least[j]))
+                least = [a if c == b else c for c in least]
+        for g in own:
+            holds.setdefault(g, []).append(i)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard_join.similarity_classes(frame).collect()}
+    assert got == dict(enumerate(least)) and len(set(least)) == 410
+
+
 def test_first_of_a_group_stays(docs):
     kept = jaccard_join.keep_first(docs, jaccard_join.similarity_classes(docs))
     ids = Counter(r.doc_id for r in kept.collect())
