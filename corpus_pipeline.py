@@ -25,8 +25,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near copies."""
-    return jaccard_join.keep_first(docs, jaccard_join.similarity_classes(docs, SHINGLE, SIMILARITY))
+    """Keeps the row of the smallest id of each group of near copies, null ids last; each row is judged by its own text."""
+    return jaccard_join.first_of_groups(docs, SHINGLE, SIMILARITY)
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +36,16 @@ def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents of which a twentieth or more stands in windows of 13 words of a benchmark item."""
-    found = decontamination.contaminated(decontamination.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
-    gone = stored(found.filter("contaminated").select(F.coalesce("doc_id", F.lit("null")).alias("gone_")).distinct(), "contaminated")
+    """Drops the rows of which a twentieth or more stands in windows of 13 words of a benchmark item.
+
+    A row is known by its id and text, so a clean row stays whatever rows share its id or have none.
+    """
+    key = F.concat(F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n")), F.lit(":"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("n")))
+    keyed = docs.withColumn("row_", key)
+    found = decontamination.contaminated(decontamination.find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row_"))
+    gone = stored(found.filter("contaminated").select(F.col("doc_id").alias("row_")).distinct(), "contaminated")
     few = gone.count() <= jaccard_join.BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")) == F.col("gone_"), "left_anti")
+    return keyed.join(F.broadcast(gone) if few else gone, "row_", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -271,8 +271,28 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     return member.select(null_free("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), null_free("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")).withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
 
+def first_of_groups(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of the smallest id of each group of near copies, null ids last; rows without words stay, repeated ones once.
+
+    Rows are told apart by a number of their own, so ids may be null or shared by several texts.
+    """
+    rows = stored(docs.withColumn("row_", F.monotonically_increasing_id()), "numbered")
+    classes = similarity_classes(rows, n, similarity, "row_", text_col).select(F.col("doc_id").alias("row_"), "n_shingles", "component_id")
+    known = rows.select("row_", F.col(id_col).alias("id_"), F.md5(F.col(text_col).cast("binary")).alias("text_"))
+    of = F.when(F.col("n_shingles") > 0, F.struct(F.col("component_id").alias("c"), F.lit(None).cast(docs.schema[id_col].dataType).alias("id"), F.lit(None).cast("string").alias("t")))
+    of = of.otherwise(F.struct(F.lit(None).cast("long").alias("c"), F.col("id_").alias("id"), F.col("text_").alias("t")))
+    grouped = stored(known.join(classes, "row_").select(F.to_json(of).alias("group_"), F.struct(F.col("id_").isNull().alias("last"), "id_", "row_").alias("place_")), "grouped")
+    many = stored(grouped.groupBy("group_").agg(F.min("place_").alias("first_"), F.count("*").alias("m_")).filter("m_ > 1").select("group_", "first_.row_"), "many")
+    few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    gone = stored(grouped.select("group_", F.col("place_.row_").alias("own_")).join(few(many), "group_").filter("own_ != row_").select(F.col("own_").alias("row_")), "gone")
+    return rows.join(few(gone), "row_", "left_anti").select(*docs.columns)
+
+
 def keep_first(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that another row of their component, of a smaller id, stands for; repeated rows once."""
+    """The rows of ``docs`` without those that another row of their component, of a smaller id, stands for; repeated rows once.
+
+    For ids that name one text each and are not null, as ``classes`` knows rows by id only; ``first_of_groups`` takes any.
+    """
     classes = stored(classes.select("doc_id", "component_id"), "kept")
     gone = classes.filter("component_id != doc_id").select(F.col("doc_id").alias(id_col)).distinct()
     left = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, id_col, "left_anti").select(*docs.columns)

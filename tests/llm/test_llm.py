@@ -283,3 +283,21 @@ def test_pipeline(spark, docs, tmp_path):
     ids = {r.doc_id for r in table.select("doc_id").collect()}
     assert 0 in ids and 14 in ids and not ids & {1, 4, 5, 8, 11}
     assert {r.doc_id for r in out.collect()} == ids
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
+    spark.createDataFrame([(1, text("bad"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    left = lambda df: sorted((r.doc_id or 0, r.text.split("w")[0]) for r in df.collect())
+
+    rows = [(None, text("bad")), (None, text("a")), (None, text("b")), (5, text("bad")), (5, text("c")), (6, text("d"))]
+    assert left(corpus_pipeline.decontamination_stage(spark, frame(rows), str(tmp_path))) == [(0, "a"), (0, "b"), (5, "c"), (6, "d")]
+
+    rows = [(1, text("a")), (5, text("a") + " z"), (5, text("c")), (None, text("a") + " y"), (None, text("d")), (None, text("e")), (None, text("e") + " z"), (7, text("f")), (7, text("f")), (3, text("g") + " z"), (2, text("g"))]
+    kept = corpus_pipeline.near_copy_stage(spark, frame(rows), str(tmp_path))
+    assert left(kept) == [(0, "d"), (0, "e"), (1, "a"), (2, "g"), (5, "c"), (7, "f")] and kept.columns == ["doc_id", "text"]
+
+    blank = jaccard_join.first_of_groups(frame([(1, ""), (1, ""), (2, ""), (None, None), (None, None), (None, "")]))
+    assert Counter(map(tuple, blank.collect())) == Counter([(1, ""), (2, ""), (None, None), (None, "")])
