@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sinks import scratch_folder
+
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table's file or folder as a stream."""
@@ -17,11 +19,22 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def collected(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
-    """Runs a stream over what is there and returns its result table."""
-    name = f"out_{uuid.uuid4().hex}"
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """Runs a stream over what is there and returns its result table, which executors write to the shared folder.
+
+    In mode append the table is all micro-batches together, in mode complete the last one, which is the whole result.
+    """
+    if mode not in ("append", "complete"):
+        raise ValueError(f"no result table in mode {mode}")
+    folder, paths = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}", {}
+
+    def write(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{folder}/rows-{batch}")
+        paths[batch] = f"{folder}/rows-{batch}"
+
+    query = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    written = [paths[b] for b in sorted(paths)]
+    return spark.read.schema(stream.schema).parquet(*(written if mode == "append" else written[-1:])) if written else spark.createDataFrame([], stream.schema)
 
 
 def hourly_mean(stream: DataFrame, keys: list[str], ts_col: str, value_col: str, late: str = "7 days") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators import completeness, quality, revision, shape, snapshots, text, timeseries, zones
 from gridspark.sources import readers, sinks
+from gridspark.streaming import jobs
 
 H = lambda h, d=1: dt.datetime(2026, 8, d, h)
 
@@ -107,3 +108,17 @@ def test_small_contracts(spark):
     nan = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
     assert quality.null_nan(nan, ["v"]).filter("v is null").count() == 1
     assert revision.age_days("a", "b") is not None
+
+
+def test_stream_results_are_files(spark, tmp_path):
+    schema = "id long, ts timestamp"
+    stream = lambda name: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+    for _ in range(3):  # three micro-batches, each with the same and one new id
+        n = len(list(tmp_path.glob("t/*.parquet")))
+        spark.createDataFrame([(0, H(1)), (n + 1, H(2))], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
+    once = jobs.collected(spark, jobs.dedupe(stream("t"), ["id"], "ts"), "append")
+    assert sorted(r.id for r in once.collect()) == [0, 1, 2, 3] and once.inputFiles()
+    counted = jobs.collected(spark, stream("t").groupBy("id").count(), "complete")
+    assert {r.id: r["count"] for r in counted.collect()} == {0: 3, 1: 1, 2: 1, 3: 1} and counted.inputFiles()
+    (tmp_path / "none").mkdir()
+    assert jobs.collected(spark, stream("none"), "append").count() == 0
