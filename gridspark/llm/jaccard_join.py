@@ -1,15 +1,19 @@
 """Exact n-gram Jaccard self-join by T-occurrence search over inverted lists.
 
 Two sets of sizes a and b reach a Jaccard similarity t only if they share T = ceil(t / (1 + t) * (a + b)) shingles. All
-lists of a document's shingles are ordered alike in the whole table, frequent ones last (the long lists). As DivideSkip
-does, the long lists are set aside: a partner must occur in at least one of the document's a - ceil(t * a) + 1 shortest
-lists, so only those are built and merged. Merging counts the lists that a pair shares; together with what the remaining
-long lists could add at most, the count drops pairs that cannot reach T. The long lists are then probed by binary search
-in the sets of the pairs that are left, which gives the exact overlap.
+lists of a document's shingles are ordered alike in the whole table, frequent ones last (the long lists). A partner must
+occur in at least one of a document's a - ceil(t * a) + 1 shortest lists, so only those are shuffled to find who has to be
+searched for whom; a meeting in a list also tells how many shingles the two can still share from there on, and those that
+cannot reach T by that never become a pair.
 
-A group of near copies never yields all its pairs: first every list is joined to two of its documents only (the first id
-and the one that shares most of its lists), the links found are closed to components, and then only pairs of different
-components are looked at, which a list that lies in one component has none of. Exact copies are one class from the start.
+The documents that a document has to be searched in then meet in one place, in parts of bounded size, and DivideSkip runs
+there: the T - 1 longest of the query's lists over these documents are set aside, the short ones are heap-merged with
+counts, and what can still reach T is looked up in the long lists by binary search. That gives the exact overlap.
+
+A group of near copies never yields all its pairs: first every list is searched for two of its documents only (the first
+id and the one that shares most of its lists), the links found are closed to components, and then only documents of
+different components are searched for each other, which a list that lies in one component has none of. Exact copies are
+one class from the start.
 
 Defined cases: a null text and a text without words have an empty set and are linked with nothing; a text of fewer words
 than a shingle has its whole sequence as its one shingle; rows that share an id are one document if their sets are equal,
@@ -19,9 +23,11 @@ columns other than the named ones are ignored.
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +105,7 @@ def _prefix(a: np.ndarray, t: Fraction) -> np.ndarray:
 
 
 def _postings(rows: DataFrame, n: int, table: bytes, t: Fraction, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """Packed (place in the common order, document, size) of each document's shortest lists, by bucket."""
+    """Packed (place in the common order, document, size, position in the document's order) of each document's shortest lists, by bucket."""
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,32 +120,33 @@ def _postings(rows: DataFrame, n: int, table: bytes, t: Fraction, frequent: np.n
                 place[hit] = np.uint64(1 << 63) + rank[at[hit]].astype(np.uint64)
             of = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((place, of))
-            first = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < np.repeat(_prefix(sizes, t), sizes)
-            of, place = of[first], place[order][first]
+            position = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            first = position < np.repeat(_prefix(sizes, t), sizes)
+            of, place, position = of[first], place[order][first], position[first].astype(np.uint32)
             bucket = ((place * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             names, starts = np.unique(bucket[order], return_index=True)
             doc, size = part.column("doc_id").to_numpy()[of], sizes[of].astype(np.uint32)
             ends = np.append(starts[1:], len(order)) if len(order) else starts
-            packed = [(int(b), *(c[order[i:j]].tobytes() for c in (place, doc, size))) for b, i, j in zip(names, starts, ends, strict=True)]
-            columns = list(zip(*packed, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "place", "doc", "size"])
+            packed = [(int(b), *(c[order[i:j]].tobytes() for c in (place, doc, size, position))) for b, i, j in zip(names, starts, ends, strict=True)]
+            columns = list(zip(*packed, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "place", "doc", "size", "at"])
 
-    return rows.mapInArrow(run, "bucket int, place binary, doc binary, size binary")
+    return rows.mapInArrow(run, "bucket int, place binary, doc binary, size binary, at binary")
 
 
 def _lists(postings: DataFrame) -> DataFrame:
-    """(place, doc_id, n) of the lists that hold more than one document."""
+    """(place, doc_id, n, i) of the lists that hold more than one document; i: the document's shingles before this one."""
 
     def run(table: pa.Table) -> pa.Table:
-        place, doc, size = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("place", np.uint64), ("doc", np.int64), ("size", np.uint32)))
+        place, doc, size, at = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("place", np.uint64), ("doc", np.int64), ("size", np.uint32), ("at", np.uint32)))
         order = np.argsort(place, kind="stable")
         same = np.zeros(len(order) + 1, bool)
         same[1:-1] = place[order][1:] == place[order][:-1]
         keep = order[same[:-1] | same[1:]]
-        return pa.table([pa.array(place[keep].view(np.int64)), pa.array(doc[keep]), pa.array(size[keep].astype(np.int64))], ["place", "doc_id", "n"])
+        return pa.table([pa.array(place[keep].view(np.int64)), pa.array(doc[keep]), pa.array(size[keep].astype(np.int64)), pa.array(at[keep].astype(np.int64))], ["place", "doc_id", "n", "i"])
 
-    return postings.groupBy("bucket").applyInArrow(run, "place long, doc_id long, n long")
+    return postings.groupBy("bucket").applyInArrow(run, "place long, doc_id long, n long, i long")
 
 
 def _can_link(t: Fraction, x: str = "x", y: str = "y"):
@@ -147,14 +154,45 @@ def _can_link(t: Fraction, x: str = "x", y: str = "y"):
     return (F.least(f"n_{x}", f"n_{y}") * t.denominator) >= (F.greatest(f"n_{x}", f"n_{y}") * t.numerator)
 
 
+def _need(t: Fraction, n_x: str = "n_x", n_y: str = "n_y"):
+    """T of two sets of these sizes."""
+    return F.ceil((F.col(n_x) + F.col(n_y)) * t.numerator / (t.numerator + t.denominator) - 1e-9)
+
+
 def _reaches(t: Fraction):
     """What shared short lists and the remaining long ones allow for at most reaches the needed overlap.
 
-    Of the two documents' shortest lists, those up to the earlier of their ends hold every common shingle that comes so early.
+    Of the two documents' shortest lists, those up to the earlier of their ends hold every common shingle that comes so early;
+    ``left`` is what the smaller of the two has from the first common one on.
     """
-    need = F.ceil((F.col("n_x") + F.col("n_y")) * t.numerator / (t.numerator + t.denominator) - 1e-9)
     rest = lambda v: F.col(f"n_{v}") - (F.col(f"n_{v}") - F.ceil(F.col(f"n_{v}") * t.numerator / t.denominator - 1e-9) + 1)
-    return F.col("shared") + F.greatest(rest("x"), rest("y")) >= need
+    return (F.col("shared") + F.greatest(rest("x"), rest("y")) >= _need(t)) & (F.col("left") >= _need(t))
+
+
+def divide_skip(query: np.ndarray, sets: list[np.ndarray], t: Fraction) -> np.ndarray:
+    """Which of ``sets`` reach similarity ``t`` with ``query`` (sorted, distinct): T-occurrence search over their lists."""
+    sizes = np.asarray([len(own) for own in sets], np.int64)
+    need = -(-t.numerator * (len(query) + sizes) // (t.numerator + t.denominator))
+    of, keys = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+    order = np.argsort(keys, kind="stable")
+    of, keys = of[order], keys[order]  # list after list, each in the order of its documents
+    start, end = np.searchsorted(keys, query), np.searchsorted(keys, query, "right")
+    n_long = min(len(query), int(need.min()) - 1)
+    by_length = np.argsort(end - start, kind="stable")
+    short, long = by_length[: len(query) - n_long], by_length[len(query) - n_long :]
+    count = np.zeros(len(sets), np.int64)
+    for document, times in groupby(heapq.merge(*(of[start[k] : end[k]].tolist() for k in short if start[k] < end[k]))):
+        count[document] = sum(1 for _ in times)
+    found = np.flatnonzero((count > 0) & (count + n_long >= need))
+    if len(found) and n_long:
+        lengths = (end - start)[long]
+        place = np.arange(lengths.sum()) + np.repeat(start[long] - np.cumsum(lengths) + lengths, lengths)
+        entries = np.repeat(np.arange(n_long), lengths) * len(sets) + of[place]  # ascending within and across the long lists
+        probes = (np.arange(n_long)[:, None] * len(sets) + found).ravel()
+        at = np.searchsorted(entries, probes)
+        hit = (at < len(entries)) & (entries[np.minimum(at, len(entries) - 1)] == probes) if len(entries) else np.zeros(len(probes), bool)
+        count[found] += hit.reshape(n_long, len(found)).sum(axis=0)
+    return found[count[found] >= need[found]]
 
 
 def _texts_of(rows: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
@@ -177,36 +215,34 @@ def _verified(rows: DataFrame, pairs: DataFrame, n: int, table: bytes, t: Fracti
     meeting = _texts_of(rows, wanted, 2 * n_pairs).repartition(parts, "x", "salt").sortWithinPartitions("x", "salt", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets = None, []
+        now, queries = None, []
         for part in slices(batches, "text", _PART_BYTES):
             grams, sizes = shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), n, table)
-            ends = np.cumsum(sizes)
-            found = []
-            for x, salt_, side, y, end, size in zip(part.column("x").to_pylist(), part.column("salt").to_pylist(), part.column("side").to_pylist(), part.column("doc_id").to_pylist(), ends.tolist(), sizes.tolist(), strict=True):
-                own = grams[end - size : end]
-                if (x, salt_) != now:
-                    now, sets = (x, salt_), []
-                if side == 0:
-                    sets.append(own.copy())
-                    continue
-                for other in sets:  # one, but for repeated rows
-                    if not len(own) or not len(other):
-                        continue
-                    short, long = (own, other) if len(own) <= len(other) else (other, own)
-                    shared = int((long[np.minimum(np.searchsorted(long, short), len(long) - 1)] == short).sum())
-                    if shared * t.denominator >= t.numerator * (len(own) + len(other) - shared):
-                        found.append((x, y))
-                        break
+            own = np.split(grams, np.cumsum(sizes)[:-1])
+            ids, found = part.column("doc_id").to_pylist(), []
+            met = zip(part.column("x").to_pylist(), part.column("salt").to_pylist(), part.column("side").to_pylist(), range(len(ids)), strict=True)
+            for key, rows_ in groupby(met, key=lambda r: r[:2]):
+                if key != now:
+                    now, queries = key, []
+                sides = [(side, k) for _, _, side, k in rows_ if sizes[k]]
+                queries += [own[k].copy() for side, k in sides if side == 0]  # one, but for repeated rows
+                members = [k for side, k in sides if side == 1]
+                if members:
+                    linked = {members[m] for query in queries for m in divide_skip(query, [own[k] for k in members], t).tolist()}
+                    found += [(key[0], ids[k]) for k in sorted(linked)]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["x", "y"])
 
     return stored(meeting.select("doc_id", "text", "x", "salt", "side").mapInArrow(run, "x long, y long").distinct(), "links")
 
 
-def components(edges: DataFrame, x: str = "x", y: str = "y", rounds: int = 40) -> DataFrame:
-    """(doc_id, component) of all ends of edges: alternating large-star and small-star steps until nothing changes."""
+def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """(doc_id, component) of all ends of edges: alternating large-star and small-star steps until nothing changes.
+
+    The number of steps grows with the logarithm of the number of edges, so it needs no limit of its own.
+    """
     edges = edges.select(F.col(x).alias("u"), F.col(y).alias("v")).filter("u != v").distinct()
-    state = None
-    for _ in range(rounds):
+    state, was = None, ()
+    while state != was:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
@@ -216,15 +252,30 @@ def components(edges: DataFrame, x: str = "x", y: str = "y", rounds: int = 40) -
         small = small.select(F.col("a").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
         edges = stored(small, "stars")
         was, state = state, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == was:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("doc_id"), F.col("v").alias("component"))).distinct()
 
 
+def _across(placed: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs (x, y) of different components that can reach ``t`` going by the list that they meet in first.
+
+    A document that has i shingles before the list's can only reach sets of at most ``far`` shingles from there. So the larger
+    set's size lies between the smaller one's and its ``far``, which bands of sizes find without looking at other pairs; the
+    list's most frequent component is not joined to itself.
+    """
+    per = placed.groupBy("place", "c").agg(F.count("*").alias("m")).groupBy("place").agg(F.count("*").alias("kinds"), F.max(F.struct("m", "c")).alias("most"))
+    mixed = placed.join(per.filter("kinds > 1").select("place", F.col("most.c").alias("major")), "place")
+    far = F.floor(((F.col("n") - F.col("i")) * (t.numerator + t.denominator) - F.col("n") * t.numerator) / t.numerator)
+    band = lambda size: F.floor(F.log(size) * 50).cast("int")  # noqa: E731  two per cent wide
+    mixed = mixed.withColumn("far", far).withColumn("is_major", F.col("c") == F.col("major"))
+    asks = mixed.filter("far >= n").select("place", F.explode(F.sequence(band(F.col("n")), band(F.col("far")))).alias("band"), F.col("is_major").alias("for_major"), F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), F.col("far").alias("far_x"))
+    sought = F.when(F.col("is_major"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    holds = mixed.select("place", band(F.col("n")).alias("band"), F.explode(sought).alias("for_major"), F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), F.col("far").alias("far_y"))
+    met = asks.join(holds, ["place", "band", "for_major"]).filter("c_x != c_y and n_y between n_x and far_x and n_x <= far_y and (n_x < n_y or x < y)")
+    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
 def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, n_links), one per row of ``docs``; n_links counts verified links of its class."""
+    """Rows (doc_id, n_shingles, component_id, n_links), one per row of ``docs``; n_links counts the links of its class that were looked at, as the closure needs them."""
     t, table = Fraction(similarity), BLANK_LOWER if lower else BLANK
     rows = _rows(docs, id_col, text_col)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()["b"]
@@ -243,21 +294,18 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     # first round: each list against two of its documents
     degree = lists.groupBy("doc_id").agg(F.count("*").alias("deg"))
     ranked = lists.join(degree, "doc_id").withColumn("share", F.col("deg") / F.col("n"))
-    heads = ranked.groupBy("place").agg(F.min(F.struct("doc_id", "n")).alias("low"), F.max(F.struct("share", -F.col("doc_id"), "doc_id", "n")).alias("hub"))
-    heads = heads.select("place", F.explode(F.array(F.struct("low.doc_id", "low.n"), F.struct("hub.doc_id", "hub.n"))).alias("h")).select("place", F.col("h.doc_id").alias("x"), F.col("h.n").alias("n_x")).distinct()
-    stars = lists.join(heads, "place").select("x", "n_x", F.col("doc_id").alias("y"), F.col("n").alias("n_y")).filter("x != y").filter(_can_link(t))
-    stars = stars.groupBy("x", "n_x", "y", "n_y").agg(F.count("*").alias("shared")).filter(_reaches(t))
+    head = lambda name: F.struct(*(F.col(f"{name}.{c}").alias(c) for c in ("doc_id", "n", "i")))
+    heads = ranked.groupBy("place").agg(F.min(F.struct("doc_id", "n", "i")).alias("low"), F.max(F.struct("share", -F.col("doc_id"), "doc_id", "n", "i")).alias("hub"))
+    heads = heads.select("place", F.explode(F.array(head("low"), head("hub"))).alias("h")).select("place", F.col("h.doc_id").alias("x"), F.col("h.n").alias("n_x"), F.col("h.i").alias("i_x")).distinct()
+    left = F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"))
+    stars = lists.join(heads, "place").select("x", "n_x", "i_x", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("i").alias("i_y")).filter("x != y").filter(_can_link(t))
+    stars = stars.groupBy("x", "n_x", "y", "n_y").agg(F.count("*").alias("shared"), F.max(left).alias("left")).filter(_reaches(t))
     links = _verified(rows, stars, n, table, t)
     found = stored(components(links), "components")
 
-    # second round: pairs of different components that share a list; each list's most frequent component stands on one side
-    placed = lists.join(found, "doc_id", "left").select("place", "doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
-    per = placed.groupBy("place", "c").agg(F.count("*").alias("m")).groupBy("place").agg(F.count("*").alias("kinds"), F.max(F.struct("m", "c")).alias("most"))
-    mixed = placed.join(per.filter("kinds > 1").select("place", F.col("most.c").alias("major")), "place")
-    left = mixed.select("place", F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), "major")
-    right = mixed.filter("c != major").select("place", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"))
-    across = left.join(right, "place").filter("c_x != c_y and (c_x = major or x < y)").filter(_can_link(t))
-    across = across.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.when(F.col("x") < F.col("y"), F.col("n_x")).otherwise(F.col("n_y")).alias("n_x"), F.when(F.col("x") < F.col("y"), F.col("n_y")).otherwise(F.col("n_x")).alias("n_y")).agg(F.count("*").alias("shared")).filter(_reaches(t))
+    # second round: documents of different components that meet in a list
+    placed = lists.join(found, "doc_id", "left").select("place", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
+    across = _across(placed, t)
     more = _verified(rows, across, n, table, t)
     every = links.unionByName(more).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     grown = found.select(F.col("component").alias("x"), F.col("doc_id").alias("y")).unionByName(more)  # the first closure stands for its links
