@@ -4,7 +4,8 @@ Two sets of sizes a and b reach a Jaccard similarity t only if they share T = ce
 lists of a document's shingles are ordered alike in the whole table, frequent ones last (the long lists). A partner must
 occur in at least one of a document's a - ceil(t * a) + 1 shortest lists, so only those are shuffled to find who has to be
 searched for whom; a meeting in a list also tells how many shingles the two can still share from there on, and those that
-cannot reach T by that never become a pair.
+cannot reach T by that never become a pair. Nor do those whose parity bits (each shingle flips one of a fixed number of
+bits) differ in more places than two sets that share T could.
 
 The documents that a document has to be searched in then meet in one place, in parts of bounded size, and DivideSkip runs
 there: the T - 1 longest of the query's lists over these documents are set aside, the short ones are heap-merged with
@@ -44,6 +45,8 @@ BUCKET_BYTES = 16 << 20
 TASK_COUNT, TOTAL_COUNT, FREQUENT = 8, 48, 200_000
 #: Rows of 16 bytes up to which a table of ids is broadcast to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 500_000
+#: Parity bits of a set.
+PARITY_BITS = 2048
 _NULL_ID = (1 << 63) - 1  # after every other id
 
 
@@ -81,23 +84,30 @@ def _digest(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
+def _parity(grams: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Each set's parity bits, 64 in a number: sets differ in at least as many shingles as their bits differ."""
+    bit = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PARITY_BITS.bit_length() + 1)
+    flips = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * PARITY_BITS + bit.astype(np.int64), minlength=len(sizes) * PARITY_BITS)
+    return pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * (PARITY_BITS // 64), np.packbits((flips & 1).astype(np.uint8)).view(np.int64))
+
+
 def _summaries(rows: DataFrame, n: int, table: bytes) -> DataFrame:
-    """kind 0: (doc_id, size, digest) of each row; kind 1: (shingle, count) of what is frequent in a task, copies counted once."""
+    """kind 0: (doc_id, size, digest, parity bits) of each row; kind 1: (shingle, count) of what is frequent in a task, copies counted once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, total, seen = ["kind", "key", "n", "s1", "s2"], Counter(), set()
+        names, total, seen = ["kind", "key", "n", "s1", "s2", "bits"], Counter(), set()
         for part in slices(batches, "text", _PART_BYTES):
             grams, sizes = shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), n, table)
             s1, s2 = _digest(grams, sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(s1), pa.array(s2)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(s1), pa.array(s2), _parity(grams, sizes)], names)
             new = np.asarray([x not in seen and not seen.add(x) for x in s1.tolist()], bool)
             found, times = np.unique(grams[np.repeat(new, sizes)], return_counts=True)
             total.update(dict(zip(found[times > 1].tolist(), times[times > 1].tolist(), strict=True)))
         often = [(g, c) for g, c in total.items() if c >= TASK_COUNT]
         zero = pa.array(np.zeros(len(often), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(often), np.int32)), pa.array(np.asarray([g for g, _ in often], np.uint64).view(np.int64)), pa.array(np.asarray([c for _, c in often], np.int64)), zero, zero], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(often), np.int32)), pa.array(np.asarray([g for g, _ in often], np.uint64).view(np.int64)), pa.array(np.asarray([c for _, c in often], np.int64)), zero, zero, pa.nulls(len(often), pa.list_(pa.int64()))], names)
 
-    return rows.mapInArrow(run, "kind int, key long, n long, s1 long, s2 long")
+    return rows.mapInArrow(run, "kind int, key long, n long, s1 long, s2 long, bits array<long>")
 
 
 def _prefix(a: np.ndarray, t: Fraction) -> np.ndarray:
@@ -274,13 +284,20 @@ def _across(placed: DataFrame, t: Fraction) -> DataFrame:
     return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
+def _close(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs whose parity bits allow for the overlap they need."""
+    own = lambda v: sets.select(F.col("doc_id").alias(v), F.col("n").alias(f"n_{v}"), F.col("bits").alias(f"bits_{v}"))
+    differ = F.aggregate(F.zip_with("bits_x", "bits_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, k: total + k)
+    return pairs.join(own("x"), "x").join(own("y"), "y").filter(F.col("n_x") + F.col("n_y") - differ >= 2 * _need(t)).select("x", "y").distinct()
+
+
 def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, n_links), one per row of ``docs``; n_links counts the links of its class that were looked at, as the closure needs them."""
     t, table = Fraction(similarity), BLANK_LOWER if lower else BLANK
     rows = _rows(docs, id_col, text_col)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()["b"]
     summaries = stored(_summaries(rows, n, table), "sets")
-    sets = summaries.filter("kind = 0").select(F.col("key").alias("doc_id"), "n", "s1", "s2")
+    sets = summaries.filter("kind = 0").select(F.col("key").alias("doc_id"), "n", "s1", "s2", "bits")
     top = summaries.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("c")).filter(F.col("c") >= TOTAL_COUNT).orderBy(F.desc("c"), "key").limit(FREQUENT)
     frequent = np.asarray([r["key"] for r in top.collect()][::-1], np.int64).view(np.uint64)  # at most FREQUENT numbers
 
@@ -305,7 +322,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
 
     # second round: documents of different components that meet in a list
     placed = lists.join(found, "doc_id", "left").select("place", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
-    across = _across(placed, t)
+    across = _close(_across(placed, t), sets.filter("n > 0"), t)
     more = _verified(rows, across, n, table, t)
     every = links.unionByName(more).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     grown = found.select(F.col("component").alias("x"), F.col("doc_id").alias("y")).unionByName(more)  # the first closure stands for its links
@@ -314,7 +331,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
 
     label = classes.join(final.withColumnRenamed("doc_id", "rep"), "rep", "left").join(degree, "rep", "left")
     label = label.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    member = sets.join(label, ["n", "s1", "s2"], "left")
+    member = sets.drop("bits").join(label, ["n", "s1", "s2"], "left")
     null_free = lambda c: F.when(F.col(c) == _NULL_ID, None).otherwise(F.col(c))
     return member.select(null_free("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), null_free("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")).withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
