@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, fingerprints, html_extract, jaccard_join, language_id, license_scan, packing, sharding, substring_dedup, token_counts
-from .storage import shared_folder
+from .storage import shared_folder, stored
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,11 +38,8 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    rows = sharding.records(_read(spark, sf_dir, "documents"))
-    folder = f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
-    slot_map = sharding.store_map(sharding.place(sharding.slot_bytes(rows, 8), 8), folder)
+    rows = stored(sharding.records(_read(spark, sf_dir, "documents")), "records")
+    slot_map = sharding.store_map(sharding.place(sharding.slot_bytes(rows, 8), 8), f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}")
     out = sharding.assign(rows, slot_map)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
