@@ -5,7 +5,7 @@ A text is cut into paragraphs (lines, and further at some sentence ends that the
 second hash. Sketches subtract cell by cell, so a paragraph that both versions hold leaves no trace, whatever its place.
 Peeling takes a cell whose content is one digest (sums agree with the count), recovers it and takes it out of its other
 cells, table after table. If cells are left, the difference was too large for the sketch and is sketched again, larger:
-sized by both texts' paragraph counts, then four times that with another hash.
+sized by both texts' paragraph counts, then four times that with another hash, and so on until nothing is left.
 
 Everything after the one shuffle of the texts stays in its partition: the rows of a document share its key.
 
@@ -78,15 +78,16 @@ def _exploded(df: DataFrame, keep: list[Column | str], sides: dict[str, Column],
     return rows.withColumn("x", F.col("u.x")).withColumn("side", F.col("u.side")).withColumn("cell", _cell(F.col("x"), F.col("t"), F.col("size"), seed)).drop("u", "t")
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 4000) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 4000, most_ranges: int = 200_000) -> DataFrame:
     """(key, doc_id, text, next_text): each row with the next one's text by descending id, the last with the first's.
 
     Ranges of ids, cut at quantiles, are sorted each by itself; a range also gets a copy of the first row of the range after
-    it, which its last row then finds as its next.
+    it, which its last row then finds as its next. ``most_ranges`` bounds the table of first rows, which is broadcast.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    ranges = max(1, ids.count() // bucket_rows)
+    count = ids.count()
+    ranges = max(1, count // max(bucket_rows, count // most_ranges))
     coarse = min(ranges, 64)
     edges = ids.agg(F.percentile_approx("doc_id", [i / coarse for i in range(coarse + 1)], 10_000).alias("q")).first()["q"] or [0, 0]
     edges = sorted(set(edges), reverse=True)  # at most 65 numbers; each range between two of them is cut evenly
@@ -120,8 +121,11 @@ def edited(text: Column, other: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - third), F.substring(other, F.lit(1), third))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS) -> DataFrame:
-    """Rows (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS, scale: float = 2.0) -> DataFrame:
+    """Rows (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+
+    A second sketch has ``scale`` cells for each paragraph of both texts, a further one four times as many as the one before.
+    """
     pairs = with_next(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     units = stored(
         pairs.select("key", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("changed"), digests(F.col("next_text")).alias("next")),
@@ -150,17 +154,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     diff = sketch.select("key", "size", "cell", F.explode(F.array(row(0, "changed"), row(1, "next"))).alias("d")).select("key", "d.which", "size", "cell", "d.c", "d.k", "d.h").filter("c != 0 or k != 0 or h != 0")
     state = stored(_peeled(diff, ["key", "which"], 0, 6), "peeled")
 
-    # then larger sketches of what failed, sized by the texts
-    for attempt, scale in ((1, 2), (2, 8)):
-        failed = state.filter("failed = 1").select("key", "which")
+    # then larger sketches of what failed, sized by the texts, until none is left
+    attempt = 0
+    while not (failed := state.filter("failed = 1").select("key", "which")).isEmpty():
+        attempt += 1
         again = failed.join(units, "key").withColumn("other", F.when(F.col("which") == 0, F.col("changed")).otherwise(F.col("next")))
         n = F.size("own") + F.size("other")
-        larger = F.pow(F.lit(2.0), F.ceil(F.log2(n * F.lit(scale) / 3.0 + 4))).cast("int")
+        larger = F.pow(F.lit(2.0), F.ceil(F.log2(n * F.lit(scale * 4.0 ** (attempt - 1)) / 3.0 + 4))).cast("int")
         rows = _exploded(again, ["key", "which"], {"own": F.col("own"), "other": F.col("other")}, larger, attempt)
         sign = F.when(F.col("side") == "own", 1).otherwise(-1)
         diff = rows.groupBy("key", "which", "size", "cell").agg(F.sum(sign).cast("long").alias("c"), F.sum(sign * F.col("x")).cast("long").alias("k"), F.sum(sign * _check(F.col("x"))).cast("long").alias("h")).filter("c != 0 or k != 0 or h != 0")
-        more = stored(_peeled(diff, ["key", "which"], attempt, 9), "peeled")
-        state = state.filter("failed = 0").unionByName(more)
+        more = _peeled(diff, ["key", "which"], attempt, 9)
+        state = stored(state.filter("failed = 0").unionByName(more), "peeled")
     per_key = state.groupBy("key").agg(*(F.max(F.when(F.col("which") == w, F.col("d"))).alias(f"d{w}") for w in (0, 1)))
 
     like = lambda d, other: F.greatest(F.lit(0.0), 1 - F.coalesce(F.col(d), F.lit(0)) / (F.size("own") + F.size(other)))
