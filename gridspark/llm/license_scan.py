@@ -1,9 +1,10 @@
-"""License scans with a positional index of the licence templates' rare words.
+"""License scans with a positional index of the licence templates' words.
 
-A file's licence words of highest IDF (over the whole table) are looked up in the templates' postings; postings of one
-template that agree on the relative position (place in the file minus place in the template) align the template with the
-file, the aligned words are compared, and a label counts only if one of the label's mandatory key phrases stands in the
-aligned part. Base phrases are found by the same postings, word by word.
+For each template that a file has enough words of, the file's words of highest IDF (over the whole table) are looked up in
+the template's postings, as many as it takes for one of them to be in its place wherever the template stands in the file.
+Postings that agree on the relative position (place in the file minus place in the template) align the two, the aligned
+words are compared, a word or two out of step, and a label counts only if one of the label's mandatory key phrases stands
+in the aligned part. Base phrases are found by the same numbers of words.
 
 Defined cases: a null or empty text has no words, no label and score 0; ties in IDF go to the word that sorts first;
 repeated rows are judged one by one; columns other than the named ones are ignored.
@@ -11,10 +12,10 @@ repeated rows are judged one by one; columns other than the named ones are ignor
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import repeat
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -30,114 +31,152 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 #: Notices of common licences. A label's mandatory key phrases follow its notices.
 TEMPLATES = {
     "apache": (
-        ["Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Licensed under the Apache License, Version 2.0."],
-        ["apache license version 2 0"],
+        [
+            "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+            "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+            "Licensed under the Apache License, Version 2.0.",
+        ],
+        ["apache license version 2 0", "distributed on an as is basis"],
     ),
     "mit": (
-        ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "Released under the MIT License."],
+        [
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+            "Released under the MIT License.",
+        ],
         ["permission is hereby granted free of charge", "under the mit license"],
     ),
     "gpl": (
-        ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "under the terms of the GNU General Public License"],
+        [
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+            "under the terms of the GNU General Public License",
+            "This work is licensed under the GNU General Public License, version 3.",
+        ],
         ["gnu general public license"],
     ),
-    "lgpl": (["you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"], ["gnu lesser general public license"]),
-    "agpl": (["you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"], ["gnu affero general public license"]),
-    "bsd": (["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"], ["redistribution and use in source and binary forms"]),
-    "mpl": (["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."], ["mozilla public license"]),
-    "cc-by-sa": (["This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "licensed under CC BY-SA 4.0"], ["attribution sharealike", "cc by sa"]),
-    "cc-by": (["This work is licensed under a Creative Commons Attribution 4.0 International License", "licensed under CC BY 4.0"], ["creative commons attribution 4", "cc by 4"]),
-    "cc0": (["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "released under CC0 1.0 Universal"], ["waived all copyright", "cc0 1 0"]),
+    "lgpl": (["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"], ["gnu lesser general public license"]),
+    "agpl": (["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"], ["gnu affero general public license"]),
+    "bsd": (
+        [
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        ],
+        ["redistribution and use in source and binary forms", "endorse or promote products"],
+    ),
+    "isc": (["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."], ["with or without fee is hereby granted"]),
+    "zlib": (["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."], ["without any express or implied warranty"]),
+    "boost": (["Distributed under the Boost Software License, Version 1.0."], ["boost software license"]),
+    "mpl": (["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"], ["mozilla public license"]),
+    "epl": (["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"], ["eclipse public license"]),
+    "unlicense": (["This is free and unencumbered software released into the public domain."], ["free and unencumbered software"]),
+    "cc-by": (["This work is licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0."], ["creative commons attribution 4", "cc by 4"]),
+    "cc-by-sa": (["This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "Licensed under CC BY-SA 4.0."], ["attribution sharealike", "cc by sa"]),
+    "cc-by-nc": (["This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License", "Licensed under CC BY-NC 4.0."], ["attribution noncommercial", "cc by nc"]),
+    "cc-by-nd": (["This work is licensed under a Creative Commons Attribution NoDerivatives 4.0 International License", "Licensed under CC BY-ND 4.0."], ["attribution noderivatives", "cc by nd"]),
+    "cc0": (["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "Released under CC0 1.0 Universal."], ["waived all copyright", "cc0 1 0"]),
 }
-#: Rare words of each notice that are looked up, and the share of a notice's words that must agree.
-RARE, AGREE = 5, 0.7
+#: The share of a notice's words that must agree, and how many words out of step they may be.
+AGREE, DRIFT = 0.7, 2
 _PART_BYTES = 4 << 20
 _FOUND = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
 def word_counts(docs: DataFrame, vocabulary: list[bytes], text_col: str = "text") -> DataFrame:
-    """(word, documents that hold it) over the whole table, for words of a fixed list; added up in each task first."""
+    """(word, documents that hold it) over the whole table, for words of a fixed list, and (null, rows); added up in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = frozenset(vocabulary), Counter()
+        known, total, rows = frozenset(vocabulary), Counter(), 0
         for part in slices(batches, "text", _PART_BYTES):
+            rows += len(part)
             for text in utf8(part, "text"):
                 total.update(known.intersection(words(text, ALNUM)))
-        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in total], pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*(w.decode() for w in total), None], pa.string()), pa.array([*total.values(), rows], pa.int64())], ["word", "n"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def rare_index(templates: dict, counts: dict[bytes, int], n_docs: int, rare: int = RARE) -> tuple[list, dict[bytes, list[tuple[int, int]]]]:
-    """(notices as (label, words, key phrases), postings word -> (notice, place) of each notice's words of highest IDF)."""
-    notices, postings = [], defaultdict(list)
-    for label, (texts, keys) in templates.items():
-        for text in texts:
-            own = words(text.encode(), ALNUM)
-            idf = lambda w: math.log((1 + n_docs) / (1 + counts.get(w, 0)))
-            for w in sorted(set(own), key=lambda w: (-idf(w), w))[:rare]:
-                postings[w] += [(len(notices), k) for k, x in enumerate(own) if x == w]
-            notices.append((label, own, [words(k.encode(), ALNUM) for k in keys]))
-    return notices, dict(postings)
-
-
-def _aligned(doc: list[bytes], places: list[int], notices: list, postings: dict) -> dict[str, float]:
-    """Best share of agreeing words of each label whose key phrase stands in the aligned part."""
-    votes = Counter((t, p - k) for p in places for t, k in postings.get(doc[p], ()))
-    need = {t: min(2, sum(any(x[0] == t for x in of) for of in postings.values())) for t, _ in votes}
-    best: dict[str, float] = {}
-    for (t, shift), n in votes.items():
-        if n < need[t]:
-            continue
-        label, own, keys = notices[t]
-        share = sum(0 <= shift + k < len(doc) and doc[shift + k] == w for k, w in enumerate(own)) / len(own)
-        if share <= best.get(label, 0):
-            continue
-        text = b" ".join((b"", *doc[max(0, shift - 2) : max(0, shift + len(own) + 2)], b""))
-        if any(b" ".join((b"", *key, b"")) in text for key in keys):
-            best[label] = share
-    return best
+class Index:
+    """The templates' notices as numbers of words, and each notice's postings, its words of highest IDF first."""
+
+    def __init__(self, templates: dict, base: dict[str, str], counts: dict[bytes, int], n_docs: int, agree: float = AGREE):
+        self.agree = agree
+        self.phrases = [(words(p.encode(), ALNUM), label) for p, label in base.items()]
+        notices = [(label, words(t.encode(), ALNUM), [words(k.encode(), ALNUM) for k in keys]) for label, (texts, keys) in templates.items() for t in texts]
+        self.number = {w: k for k, w in enumerate(sorted({w for _, own, keys in notices for part in (own, *keys) for w in part} | {w for p, _ in self.phrases for w in p}))}
+        idf = lambda w: log((1 + n_docs) / (1 + counts.get(w, 0)))
+        self.labels = [label for label, _, _ in notices]
+        self.own = [np.asarray([self.number[w] for w in own]) for _, own, _ in notices]
+        self.keys = [[np.asarray([self.number[w] for w in k]) for k in keys] for _, _, keys in notices]
+        self.postings = [[(self.number[w], [k for k, x in enumerate(own) if x == w]) for w in sorted(set(own), key=lambda w: (-idf(w), w))] for _, own, _ in notices]
+        self.weights = np.zeros((len(self.number), len(notices)), np.int32)  # places of a word in a notice
+        for t, own in enumerate(self.own):
+            np.add.at(self.weights[:, t], own, 1)
+        self.need = np.asarray([ceil(agree * len(own) - 1e-9) for own in self.own], np.int64)
+
+    def share(self, ids: np.ndarray, t: int, shift: int) -> float:
+        """Words of notice ``t`` that stand at ``shift`` or a few words off, if a key phrase of its label stands there too."""
+        own = self.own[t]
+        low = shift - DRIFT
+        window = np.full(len(own) + 2 * DRIFT, -1)
+        inside = ids[max(0, low) : max(0, low + len(window))]
+        window[max(0, -low) : max(0, -low) + len(inside)] = inside
+        hit = np.zeros(len(own), bool)
+        for d in range(2 * DRIFT + 1):
+            hit |= window[d : d + len(own)] == own
+        stands = any((window[i : i + len(key)] == key).all() for key in self.keys[t] for i in range(len(window) - len(key) + 1))
+        return float(hit.mean()) if stands else 0.0
+
+    def labels_of(self, ids: np.ndarray) -> dict[str, float]:
+        """Best share of each label that reaches the least one; ``ids``: the file's words, -1 for words of no notice."""
+        have = np.zeros(len(self.number), bool)
+        have[ids[ids >= 0]] = True
+        best: dict[str, float] = {}
+        for t in np.flatnonzero(have @ self.weights >= self.need).tolist():
+            # of the words that may be out of place, some are not in the file; one of any more must be in its place
+            spare, shifts = len(self.own[t]) - self.need[t] - sum(len(at) for w, at in self.postings[t] if not have[w]), set()
+            for w, at in self.postings[t]:
+                if have[w] and spare >= 0:
+                    spare -= len(at)
+                    places = np.flatnonzero(ids == w)
+                    shifts.update(np.unique(places[:, None] - np.asarray(at)).tolist())
+            share = max(self.share(ids, t, shift) for shift in shifts)
+            if share >= self.agree:
+                best[self.labels[t]] = max(best.get(self.labels[t], 0.0), share)
+        return best
 
 
 def scan_licenses(docs: DataFrame, templates: dict | None = None, base: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", agree: float = AGREE) -> DataFrame:
     """One row per document: base places, base labels, all labels and the best agreement."""
     templates, base = TEMPLATES if templates is None else templates, BASE if base is None else base
-    phrases = [(words(p.encode(), ALNUM), label) for p, label in base.items()]
     vocabulary = sorted({w for texts, _ in templates.values() for t in texts for w in words(t.encode(), ALNUM)})
-    counts = {r["word"].encode(): r["n"] for r in word_counts(docs, vocabulary, text_col).toLocalIterator()}  # a row per template word at most
-    notices, postings = rare_index(templates, counts, docs.count())
-    table = {w: i for i, w in enumerate(sorted({*postings, *(w for p, _ in phrases for w in p)}))}
+    rows = light_batches(docs)
+    found = {r["word"]: r["n"] for r in word_counts(rows, vocabulary, text_col).collect()}  # a row per template word at most
+    n_docs = found.pop(None, 0)
+    index = Index(templates, base, {w.encode(): n for w, n in found.items()}, n_docs, agree)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = np.asarray([w in postings for w in sorted(table)] + [False])
         for part in slices(batches, "text", _PART_BYTES):
             docs_words = [words(t, ALNUM) for t in utf8(part, "text")]
             sizes = np.asarray([len(w) for w in docs_words], np.int64)
-            base_at = np.cumsum(sizes) - sizes
+            starts = np.cumsum(sizes) - sizes
             flat = [w for own in docs_words for w in own]
-            ids = np.fromiter(map(table.get, flat, repeat(-1)), np.int64, len(flat))
+            ids = np.fromiter(map(index.number.get, flat, repeat(-1)), np.int64, len(flat))
             of = np.repeat(np.arange(len(sizes)), sizes)
             hits = defaultdict(list)
-            for phrase, label in phrases:
-                n = len(phrase)
-                at = np.flatnonzero(ids[: len(ids) - n + 1] == table[phrase[0]]) if len(ids) >= n else np.zeros(0, np.int64)
+            for phrase, label in index.phrases:
+                n, numbers = len(phrase), [index.number[w] for w in phrase]
+                at = np.flatnonzero(ids[: len(ids) - n + 1] == numbers[0]) if len(ids) >= n else np.zeros(0, np.int64)
                 for k in range(1, n):
-                    at = at[ids[at + k] == table[phrase[k]]]
+                    at = at[ids[at + k] == numbers[k]]
                 at = at[of[at] == of[at + n - 1]] if len(at) else at
                 for d, p in zip(of[at].tolist(), at.tolist(), strict=True):
-                    hits[d].append((p - int(base_at[d]), label))
-            places = defaultdict(list)
-            for p in np.flatnonzero(rare[ids]).tolist():
-                places[int(of[p])].append(p - int(base_at[of[p]]))
-            rows = []
+                    hits[d].append((p - int(starts[d]), label))
+            out = []
             for d, doc_id in enumerate(part.column("id").to_pylist()):
-                own = hits.get(d, [])
-                found = _aligned(docs_words[d], places[d], notices, postings) if len(places.get(d, ())) else {}
+                own, method = hits.get(d, []), index.labels_of(ids[starts[d] : starts[d] + sizes[d]])
                 base_labels = {label for _, label in own}
-                labels = base_labels | {label for label, share in found.items() if share >= agree}
-                score = max([0.0, *found.values(), *([1.0] if own else [])])
                 at = [p for p, _ in own]
-                rows.append((doc_id, len(docs_words[d]), len(own), min(at, default=None), max(at, default=None), ",".join(sorted(base_labels)), ",".join(sorted(labels)), score))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()], strict=True)], [c.split()[0] for c in _FOUND.split(", ")])
+                score = max([0.0, *method.values(), *([1.0] if own else [])])
+                out.append((doc_id, len(docs_words[d]), len(own), min(at, default=None), max(at, default=None), ",".join(sorted(base_labels)), ",".join(sorted(base_labels | set(method))), score))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()], strict=True)], [c.split()[0] for c in _FOUND.split(", ")])
 
-    return light_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _FOUND)
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _FOUND)

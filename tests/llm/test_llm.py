@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 pytest.importorskip("gridspark.llm.queries")
@@ -136,9 +137,22 @@ def test_token_counts_and_packing(docs, empty):
     assert token_counts.count_tokens(empty, path, ranks).count() == packing.pack_documents(empty, path, ranks).count() == 0
 
 
-def test_packing_keeps_every_constraint():
-    import numpy as np
+def test_every_text_is_cut_into_the_pre_tokens_of_the_library():
+    from gridspark.llm import bpe
+
+    path, ranks = token_counts.tokenizer_paths()
+    rng, tok = random.Random(5), bpe.tokenizer(path)
+    odd = ["a", "Zé", "'s", "'ll", "1", "²", ".", "\"", "  ", " ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "中文", "ж", "ﬁ", "\u0558", "\U0001f600", "<|endoftext|>", "<|"]
+    counter = bpe.Counter(path, ranks, {" a": 1})
+    for _ in range(1500):
+        text = "".join(rng.choice(odd) for _ in range(rng.randint(1, 14)))
+        for part in bpe.parts(text, path)[::2]:
+            assert bpe.pre_tokens(part, path) == [part[i:j] for _, (i, j) in tok.pre_tokenizer.pre_tokenize_str(part)]
+        assert counter.count(text) == len(tok.encode(text, add_special_tokens=False).ids)
+    assert len(counter.cache) > 50
+
 
+def test_packing_keeps_every_constraint():
     lengths = np.sort(np.random.default_rng(1).integers(1, 900, 400))[::-1].copy()
     for rule in ("norm", "dot"):
         bins = packing.best_fit(lengths, (1000, 3, 600_000), (1.0, 0.5, 0.5), rule)
@@ -287,6 +301,33 @@ def test_licenses(spark, docs, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_license_labels(spark):
+    """Against every shift of every notice; and how many notices with some words changed are found, none elsewhere."""
+    rng, texts, planted = random.Random(8), [], []
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    common = [w for texts_, _ in license_scan.TEMPLATES.values() for t in texts_ for w in re.findall(ALNUM, lower(t))]
+    for label, (notices, _) in license_scan.TEMPLATES.items():
+        for notice in notices:
+            for changed in (0.0, 0.05, 0.1, 0.25):
+                w = [word() if rng.random() < changed else x for x in notice.split()]
+                texts.append(" ".join([*(word() for _ in range(rng.randint(0, 40))), *w, *(rng.choice(common) for _ in range(20))]))
+                planted.append((label, changed, len(w)))
+    texts += [" ".join(rng.choice(common) for _ in range(200)) for _ in range(30)]
+    index = license_scan.Index(license_scan.TEMPLATES, license_scan.BASE, {}, len(texts))
+    got = {r.doc_id: (r.labels, r.base_labels) for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        ids = np.asarray([index.number.get(w.encode(), -1) for w in re.findall(ALNUM, lower(text))])
+        want = set(filter(None, got[i][1].split(",")))
+        for t, own in enumerate(index.own):
+            hits = lambda s, own=own, ids=ids: sum(0 <= s + k < len(ids) and ids[s + k] == x for k, x in enumerate(own))
+            if any(hits(s) >= index.need[t] and index.share(ids, t, s) > 0 for s in range(-len(own), len(ids))):
+                want.add(index.labels[t])
+        assert want <= set(filter(None, got[i][0].split(",")))
+    kept = [label in got[i][0].split(",") for i, (label, changed, n) in enumerate(planted) if changed <= 0.1 and n > 8]
+    assert sum(kept) >= 0.8 * len(kept) and all(label in got[i][0].split(",") for i, (label, changed, _) in enumerate(planted) if not changed)
+    assert all(got[i][0] == got[i][1] for i in range(len(planted), len(texts)))
+
+
 def test_pipeline(spark, docs, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     base = [t for i, t in pairs(docs) if i == 11][0]
