@@ -3,7 +3,9 @@
 The training table is indexed by shards: a shard is a run of whole documents of bounded text, and its row stores each
 term's sorted token positions. A phrase is found by taking its terms from the rarest posting list in the shard upwards,
 shifting each list by the term's place in the phrase and intersecting by binary search. Nothing is shuffled: the test
-phrases, a query set in blocks of bounded size, go to the shards.
+phrases, a query set in blocks of bounded size, go to the shards. With a single block the index holds that block's terms
+only and flows straight on to the search; with several the whole index is stored and searched by each. ``near`` searches
+the same index for terms that stand close together.
 
 Defined cases: a null or empty text has no words and no hits; an item without words has no phrase; a document longer
 than a shard is a shard by itself; repeated rows are judged one by one; equal items are reported under each id; columns
@@ -27,7 +29,7 @@ from .text import ALNUM, slices, utf8, words
 
 #: Bytes of text in a shard, and of test texts in a block of queries (what is broadcast at once).
 SHARD_BYTES = 4 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 _INDEX = "shard long, doc_ids array<string>, n_words array<int>, terms array<binary>, lengths array<int>, postings binary"
 _FOUND = "shard long, place int, doc_id string, n_words long, starts array<int>, ends array<int>, items array<string>"
 _CANDIDATES = 1 << 20

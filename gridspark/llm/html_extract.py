@@ -3,7 +3,9 @@
 Every element has a hidden label, content or not. A unary potential scores the element's own features (tag, words of its
 class, id and role, how much of its text is in links, how long its text is), and a pairwise potential ties it to its
 parent's label, by kind of tag. Messages are passed from the leaves up and back down (sum-product, exact on a tree), and a
-text block is kept if the marginal of the element that holds it says content. The potentials are fitted on labelled pages.
+text block is kept if the marginal of the element that holds it says content. All potentials are fitted together to
+labelled pages, by the gradient of their likelihood, which the same messages give. As no labelled pages are given, the
+labelled ones are composed here from layouts.
 
 Defined cases: a null or empty page has no text; a broken or cut page is read as far as it goes; an open tag that its
 context closes (p, li, ...) is closed; repeated rows are pages of their own; columns other than the named ones are ignored.
@@ -26,6 +28,7 @@ from .storage import light_batches
 from .text import slices
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|textarea|select|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S | re.I)
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 #: Tags without content, tags that start a block, and the open tags that a new one closes.
@@ -92,7 +95,8 @@ class Page:
             self.words.append(tuple(w for a in _ATTR.finditer(m[4] or "") for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())))
             if name not in VOID and not (m[4] or "").endswith("/"):
                 stack.append(len(self.tag) - 1)
-        text(source[at:] if source.find("<", at) < 0 else source[at : source.find("<", at)])
+        cut = _CUT_TAG.search(source, at)
+        text(source[at : cut.start()] if cut else source[at:])
         close()
         for n in range(len(self.tag) - 1, 0, -1):
             self.text[self.parent[n]] += self.text[n]
@@ -118,8 +122,8 @@ class Model:
     def __init__(self, unary: dict[str, float], pair: dict[str, list[list[float]]]):
         self.unary, self.pair = unary, pair
 
-    def marginals(self, page: Page) -> np.ndarray:
-        """P(content) of each element."""
+    def beliefs(self, page: Page) -> tuple[np.ndarray, list]:
+        """P(content) of each element, and per element below the root the log weights of (parent's label, own label)."""
         n = len(page.tag)
         kinds = [self.pair[_kind(t)] for t in page.tag]
         score = [sum(map(self.unary.get, f, (0.0,) * len(f))) for f in map(page.features, range(n))]
@@ -132,13 +136,17 @@ class Model:
             above = up[page.parent[i]]
             above[0] += message[0]
             above[1] += message[1]
-        full = [list(b) for b in up]
+        full, edges = [list(b) for b in up], [None] * n
         for i in range(1, n):  # downwards: what the parent knows without this child
             p, t = full[page.parent[i]], kinds[i]
             rest = (p[0] - sent[i][0], p[1] - sent[i][1])
+            edges[i] = [[rest[a] + t[a][b] + up[i][b] for b in (0, 1)] for a in (0, 1)]
             for label in (0, 1):
                 full[i][label] = up[i][label] + _log_sum(rest[0] + t[0][label], rest[1] + t[1][label])
-        return np.asarray([1 / (1 + np.exp(min(700.0, max(-700.0, b[0] - b[1])))) for b in full])
+        return np.asarray([1 / (1 + np.exp(min(700.0, max(-700.0, b[0] - b[1])))) for b in full]), edges
+
+    def marginals(self, page: Page) -> np.ndarray:
+        return self.beliefs(page)[0]
 
     def extract(self, source: str | None) -> str:
         if not source:
@@ -148,8 +156,8 @@ class Model:
         return "\n".join(text for holder, text in page.blocks if content[holder] >= 0.5)
 
 
-def train(pages: list[tuple[Page, list[int]]], steps: int = 200, rate: float = 0.5, l2: float = 1e-3) -> Model:
-    """Fit the potentials on pages whose elements are labelled: logistic weights, and smoothed counts of label pairs."""
+def _start(pages: list[tuple[Page, list[int]]], steps: int, rate: float, l2: float) -> Model:
+    """Where the fit starts: logistic weights of the elements by themselves, and smoothed counts of label pairs."""
     names: dict[str, int] = {}
     rows, y = [], []
     pair = {k: [[1.0, 1.0], [1.0, 1.0]] for k in ("inline", "section", "leaf", "part")}
@@ -169,6 +177,43 @@ def train(pages: list[tuple[Page, list[int]]], steps: int = 200, rate: float = 0
     return Model({f: float(w[k]) for f, k in names.items()}, {k: np.log(np.asarray(t) / np.asarray(t).sum(axis=1, keepdims=True)).tolist() for k, t in pair.items()})
 
 
+def gradient(model: Model, page: Page, labels: list[int]) -> tuple[float, dict[str, float], dict[str, np.ndarray]]:
+    """Log-likelihood of the page's labels, and its gradient by unary and pairwise potentials: observed less expected."""
+    content, edges = model.beliefs(page)
+    unary: dict[str, float] = {}
+    pair = {k: np.zeros((2, 2)) for k in model.pair}
+    total = 0.0
+    for n, label in enumerate(labels):
+        p = content[n] if label else 1 - content[n]
+        for f in page.features(n):
+            unary[f] = unary.get(f, 0.0) + label - content[n]
+        if n:
+            e = np.asarray(edges[n])
+            e = np.exp(e - e.max())
+            e /= e.sum()
+            above = labels[page.parent[n]]
+            pair[_kind(page.tag[n])] -= e
+            pair[_kind(page.tag[n])][above, label] += 1
+            total += np.log(max(e[above, label] / max(e[above].sum(), 1e-300), 1e-300))  # given the parent's label
+        else:
+            total += np.log(max(p, 1e-300))
+    return total, unary, pair
+
+
+def train(pages: list[tuple[Page, list[int]]], steps: int = 200, rate: float = 0.5, l2: float = 1e-3, rounds: int = 5) -> Model:
+    """Fit all potentials on pages whose elements are labelled, a page at a time, by the gradient of the labels' likelihood."""
+    model = _start(pages, steps, rate, l2)
+    for k in range(rounds):
+        step = 0.1 / (1 + k)
+        for page, labels in pages:
+            _, unary, pair = gradient(model, page, labels)
+            for f, g in unary.items():
+                model.unary[f] += step * (g / len(labels) ** 0.5 - l2 * model.unary[f])
+            for kind, g in pair.items():
+                model.pair[kind] = (np.asarray(model.pair[kind]) + step * g / len(labels) ** 0.5).tolist()
+    return model
+
+
 #: Layouts of the labelled pages, as (opening tag, closing tag) of parts that hold content or do not.
 CONTENT = ["<article>|</article>", "<main>|</main>", '<div class="content">|</div>', '<div id="main-content">|</div>', '<div class="post entry">|</div>', '<section class="article body">|</section>', '<div class="story text">|</div>', '<div role="main">|</div>']
 OTHER = [

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import light_batches, stored
+from .storage import light_batches, stored, unused
 from .text import BLANK, BLANK_LOWER, gram_hashes, joined, slices
 
 _PART_BYTES = 2 << 20
@@ -341,16 +341,17 @@ def first_of_groups(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_co
 
     Rows are told apart by a number of their own, so ids may be null or shared by several texts.
     """
-    rows = stored(docs.withColumn("row_", F.monotonically_increasing_id()), "numbered")
-    classes = similarity_classes(rows, n, similarity, "row_", text_col).select(F.col("doc_id").alias("row_"), "n_shingles", "component_id")
-    known = rows.select("row_", F.col(id_col).alias("id_"), F.md5(F.col(text_col).cast("binary")).alias("text_"))
+    row = unused(docs.columns, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = similarity_classes(rows.select(row, F.col(text_col).alias("text")), n, similarity, row).select(F.col("doc_id").alias("row_"), "n_shingles", "component_id")
+    known = rows.select(F.col(row).alias("row_"), F.col(id_col).alias("id_"), F.md5(F.col(text_col).cast("binary")).alias("text_"))
     of = F.when(F.col("n_shingles") > 0, F.struct(F.col("component_id").alias("c"), F.lit(None).cast(docs.schema[id_col].dataType).alias("id"), F.lit(None).cast("string").alias("t")))
     of = of.otherwise(F.struct(F.lit(None).cast("long").alias("c"), F.col("id_").alias("id"), F.col("text_").alias("t")))
     grouped = stored(known.join(classes, "row_").select(F.to_json(of).alias("group_"), F.struct(F.col("id_").isNull().alias("last"), "id_", "row_").alias("place_")), "grouped")
     many = stored(grouped.groupBy("group_").agg(F.min("place_").alias("first_"), F.count("*").alias("m_")).filter("m_ > 1").select("group_", "first_.row_"), "many")
     few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-    gone = stored(grouped.select("group_", F.col("place_.row_").alias("own_")).join(few(many), "group_").filter("own_ != row_").select(F.col("own_").alias("row_")), "gone")
-    return rows.join(few(gone), "row_", "left_anti").select(*docs.columns)
+    gone = stored(grouped.select("group_", F.col("place_.row_").alias("own_")).join(few(many), "group_").filter("own_ != row_").select(F.col("own_").alias(row)), "gone")
+    return rows.join(few(gone), row, "left_anti").select(*docs.columns)
 
 
 def keep_first(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import light_batches
+from .storage import light_batches, unused
 from .text import slices, utf8
 
 WINDOW, WIDTHS, FILTERS = 128, (2, 3, 4), 16
-#: Bounds of the training sample: rows of a language (expected) and in all, and windows taken from a row.
+#: Bounds of the training sample: expected rows of a language and of all languages, and windows taken from a row.
 SAMPLE_PER_LANG, SAMPLE_ROWS, SAMPLE_WINDOWS = 700, 8000, 3
 STEPS, BATCH, SEED = 700, 96, 7
 _PART_BYTES = 1 << 19
@@ -40,9 +40,10 @@ def training_windows(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     langs = sorted(counts)
     if not langs:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
+    per_lang = min(per_lang, SAMPLE_ROWS / len(langs))
     share = F.create_map(*(x for k in langs for x in (F.lit(k), F.lit(min(1.0, per_lang / counts[k])))))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.filter(draw < share[F.col(lang_col)]).limit(SAMPLE_ROWS)
+    picked = rows.filter(draw < share[F.col(lang_col)])
     n = F.char_length(text_col)
     cut = lambda k: F.substring(F.col(text_col), (1 + F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), F.greatest(n - WINDOW, F.lit(1)))).cast("int"), F.lit(WINDOW))
     windows = picked.select(F.col(lang_col).alias("lang"), F.explode(F.array(*(cut(k) for k in range(SAMPLE_WINDOWS)))).alias("w"))
@@ -60,36 +61,43 @@ class Network:
         self.out = rng.normal(0, 0.1, (FILTERS * len(WIDTHS), max(1, len(langs)))).astype(np.float32)
         self.out_bias = np.zeros(max(1, len(langs)), np.float32)
 
+    def params(self) -> list[np.ndarray]:
+        return [*self.filters.values(), *self.bias.values(), self.out, self.out_bias]
+
+    def loss_and_gradient(self, b: np.ndarray, t: np.ndarray) -> tuple[float, list[np.ndarray]]:
+        """Mean cross entropy of windows ``b`` of languages ``t``, and its gradient by each of ``params``."""
+        pooled, places = [], []
+        for w in WIDTHS:
+            n = b.shape[1] - w + 1
+            z = sum(self.filters[w][k][b[:, k : k + n]] for k in range(w))
+            at = z.argmax(axis=1)
+            places.append(at)
+            pooled.append(np.take_along_axis(z, at[:, None], axis=1)[:, 0] + self.bias[w])
+        hidden = np.maximum(np.concatenate(pooled, axis=1), 0)
+        p = _softmax(hidden @ self.out + self.out_bias)
+        loss = float(-np.log(p[np.arange(len(t)), t]).mean())
+        p[np.arange(len(t)), t] -= 1
+        p /= len(t)
+        back = (p @ self.out.T) * (hidden > 0)
+        grads = []
+        for i, w in enumerate(WIDTHS):
+            own, g = back[:, i * FILTERS : (i + 1) * FILTERS], np.zeros_like(self.filters[w])
+            for k in range(w):
+                np.add.at(g[k], (np.take_along_axis(b, places[i] + k, axis=1), np.arange(FILTERS)[None]), own)
+            grads.append(g)
+        grads += [back[:, i * FILTERS : (i + 1) * FILTERS].sum(axis=0) for i in range(len(WIDTHS))]
+        return loss, [*grads, hidden.T @ p, p.sum(axis=0)]
+
     def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS) -> Network:
         """Adam on the cross entropy, each batch drawn evenly from the languages; only a filter's maximum is followed back."""
         rng = np.random.default_rng(SEED)
-        params = [*self.filters.values(), *self.bias.values(), self.out, self.out_bias]
+        params = self.params()
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
         of = [np.flatnonzero(y == k) for k in range(len(self.langs))]
         of = [o for o in of if len(o)]
         for step in range(1, steps + 1):
             rows = np.concatenate([rng.choice(o, max(1, BATCH // len(of))) for o in of])
-            b, t = x[rows].astype(np.int64), y[rows]
-            pooled, places = [], []
-            for w in WIDTHS:
-                n = WINDOW - w + 1
-                z = sum(self.filters[w][k][b[:, k : k + n]] for k in range(w))
-                at = z.argmax(axis=1)
-                places.append(at)
-                pooled.append(np.take_along_axis(z, at[:, None], axis=1)[:, 0] + self.bias[w])
-            hidden = np.maximum(np.concatenate(pooled, axis=1), 0)
-            p = _softmax(hidden @ self.out + self.out_bias)
-            p[np.arange(len(t)), t] -= 1
-            p /= len(t)
-            back = (p @ self.out.T) * (hidden > 0)
-            grads = []
-            for i, w in enumerate(WIDTHS):
-                own, g = back[:, i * FILTERS : (i + 1) * FILTERS], np.zeros_like(self.filters[w])
-                for k in range(w):
-                    np.add.at(g[k], (np.take_along_axis(b, places[i] + k, axis=1), np.arange(FILTERS)[None]), own)
-                grads.append(g)
-            grads += [back[:, i * FILTERS : (i + 1) * FILTERS].sum(axis=0) for i in range(len(WIDTHS))]
-            grads += [hidden.T @ p, p.sum(axis=0)]
+            _, grads = self.loss_and_gradient(x[rows].astype(np.int64), y[rows])
             for q, g, (m, v) in zip(params, grads, moments, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
@@ -127,20 +135,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return Network(langs).train(x, y) if langs else Network([])
 
 
-def identify(docs: DataFrame, network: Network, text_col: str = "text", keep: bool = False, id_col: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, held_out, lang_pred, score); with ``keep`` all of the table's columns and the last two."""
+def identify(docs: DataFrame, network: Network, text_col: str = "text", keep: bool = False, id_col: str = "doc_id", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+    """Rows (doc_id, held_out, lang_pred, score); with ``keep`` all of the table's columns and the last two, in place of any so named."""
     sent = docs.sparkSession.sparkContext.broadcast(network)
-    columns = [F.col(c) for c in docs.columns if c not in ("lang_pred", "score")] if keep else [F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")]
-    text = text_col if keep else "text"
-    rows = light_batches(docs).select(*columns, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has_letter_"))
-    names = [c for c in rows.columns if c != "has_letter_" and (keep or c != "text")]
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) + ", lang_pred string, score double"
+    columns = [F.col(c) for c in docs.columns if c not in (lang_out, score_out)] if keep else [F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text")]
+    text, flag = text_col if keep else "text", unused(docs.columns, "has_letter")
+    rows = light_batches(docs).select(*columns, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(flag))
+    names = [c for c in rows.columns if c != flag and (keep or c != "text")]
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) + f", `{lang_out}` string, `{score_out}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
         tables = net.tables()
         for part in slices(batches, text, _PART_BYTES):
-            texts = [t if ok else None for t, ok in zip(utf8(part, text), part.column("has_letter_").to_pylist(), strict=True)]
+            texts = [t if ok else None for t, ok in zip(utf8(part, text), part.column(flag).to_pylist(), strict=True)]
             counts = np.asarray([-(-len(t) // WINDOW) if t and net.langs else 0 for t in texts], np.int64)
             data = b"".join(t.ljust(n * WINDOW) for t, n in zip(texts, counts.tolist(), strict=True) if n)
             x = np.frombuffer(data, np.uint8).reshape(-1, WINDOW)
@@ -152,6 +160,6 @@ def identify(docs: DataFrame, network: Network, text_col: str = "text", keep: bo
             for row, k in zip(has.tolist(), p.argmax(axis=1).tolist() if len(has) else [], strict=True):
                 lang[row] = net.langs[k]
             score[has] = p.max(axis=1) if len(has) else 1
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, lang_out, score_out])
 
     return rows.mapInArrow(run, schema)

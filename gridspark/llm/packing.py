@@ -85,7 +85,11 @@ def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple
 
 
 def pack(pieces: DataFrame, groups: int, capacity: int = CAPACITY, most_docs: int | None = None, most_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 0.05, 0.05), rule: str = "norm") -> DataFrame:
-    """Add ``sequence_id`` and ``offset``. Without own limits, documents and cost are bounded as far as the tokens bound them."""
+    """Add ``sequence_id`` and ``offset``.
+
+    Limits on documents and attention cost cost sequences, so they are the caller's to set; without them both are bounded by
+    what the tokens allow, and the residual norm goes by the tokens.
+    """
     limits = (capacity, most_docs or capacity, most_cost or capacity * capacity)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -96,7 +100,7 @@ def pack(pieces: DataFrame, groups: int, capacity: int = CAPACITY, most_docs: in
         return rows.drop(columns="part")
 
     schema = f"{_PIECES}, ids binary, sequence_id long, offset long" if "ids" in pieces.columns else _PACKED
-    parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    parted = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))  # the row's place, as rows may repeat
     return parted.groupBy("part").applyInPandas(run, schema)
 
 

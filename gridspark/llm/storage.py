@@ -9,24 +9,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session. Where it is unset, a temporary folder in local mode, as in tests, and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: later steps start from files that outlive executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: later steps start from files that outlive executors.
+
+    A result is read lazily from such tables, so they stay until the folder is cleared, as checkpoints do.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """A column name that none of ``columns`` has in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
 def light_batches(df: DataFrame) -> DataFrame:
-    """Small Arrow batches for the session: rows hold whole texts, and both sides of the exchange keep a batch in memory."""
+    """Small Arrow batches: rows hold whole texts, and both sides of the exchange keep a batch in memory.
+
+    Spark reads these settings of the session when the result is computed, so they stay set.
+    """
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))

@@ -33,10 +33,13 @@ _PART_BYTES = 3 << 20
 BUCKET_BYTES, GROUP_BYTES = 8 << 20, 4 << 20
 _RECORDS = "bucket int, kind int, doc binary, tag binary, at binary, size binary, hash binary, check binary"
 _MARKS = "part int, doc binary, tag binary, at binary, size binary"
+_NULL_ID = -(1 << 63)  # before every other id
 _SEED = 0x9E6C63D0876A9A47
 
 
-def _doc_part(doc: np.ndarray, parts: int) -> np.ndarray:
+def _doc_part(doc: np.ndarray, tag: np.ndarray, parts: int) -> np.ndarray:
+    """Where a document's texts and marks meet; rows without an id are spread by their text's tag."""
+    doc = np.where(doc == _NULL_ID, tag.astype(np.int64), doc)
     return ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
@@ -124,7 +127,7 @@ def _anchors(docs: DataFrame, n: int, buckets: int) -> DataFrame:
             first.sort()
             rows = _packed(bucket[first], 0, doc[first], tag[first], at[first], None, grams[first], seen_twice[first])
             repeated.sort()
-            rows += _packed(_doc_part(doc[repeated], buckets), 1, doc[repeated], tag[repeated], at[repeated], None, None, None)
+            rows += _packed(_doc_part(doc[repeated], tag[repeated], buckets), 1, doc[repeated], tag[repeated], at[repeated], None, None, None)
             yield _batch(rows, _RECORDS)
 
     return docs.mapInArrow(run, _RECORDS)
@@ -136,7 +139,7 @@ def _column(table: pa.Table, name: str, kind: type, keep: np.ndarray) -> np.ndar
 
 
 def _sent_back(parts: int, doc: np.ndarray, tag: np.ndarray, at: np.ndarray, size: np.ndarray) -> list[tuple]:
-    return [(r[0], *r[2:6]) for r in _packed(_doc_part(doc, parts), 0, doc, tag, at, size, None, None)]
+    return [(r[0], *r[2:6]) for r in _packed(_doc_part(doc, tag, parts), 0, doc, tag, at, size, None, None)]
 
 
 def _passed_on(table: pa.Table, parts: int) -> list[tuple]:
@@ -209,7 +212,7 @@ def _windows(docs: DataFrame, anchors: DataFrame, n: int, buckets: int) -> DataF
         bucket = ((grams >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         rows = _packed(bucket[first], 0, doc[first], tag[first], at[first], None, grams[first], check[first])
         d, t, a, size = _runs(doc[rest], tag[rest], at[rest])
-        rows += _packed(_doc_part(d, buckets), 1, d, t, a, size, None, None)
+        rows += _packed(_doc_part(d, t, buckets), 1, d, t, a, size, None, None)
         return pa.Table.from_batches([_batch(rows, _RECORDS)])
 
     return docs.groupBy("part").cogroup(anchors.groupBy("part")).applyInArrow(_both_released(run), _RECORDS)
@@ -241,13 +244,13 @@ def dedup_substrings(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_
         raise ValueError(f"n must be at least {PERIOD + 1}")
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()["b"]
     buckets, parts = max(1, size // BUCKET_BYTES), max(1, size // GROUP_BYTES)
-    least = -(1 << 63)
     others = [c for c in docs.columns if c not in (id_col, text_col)] if keep_text else []
-    doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("doc_id")
+    doc_id = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id")
     base = light_batches(docs).select(doc_id, F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 16)).cast("int").alias("tag"), F.col(id_col).alias("id_"), *(F.struct(*others).alias("others_") for _ in others[:1]))
+
     def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = _doc_part(batch.column("doc_id").to_numpy(), parts).astype(np.int32)
+            part = _doc_part(batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy(zero_copy_only=False), parts).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part)], [*batch.schema.names, "part"])
 
     texts = base.mapInArrow(parted, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", part int")

@@ -161,6 +161,32 @@ def test_packing_keeps_every_constraint():
             assert own.sum() <= 1000 and len(own) <= 3 and (own**2).sum() <= max(600_000, own[0] ** 2)
 
 
+def test_packing_against_the_fewest_bins():
+    rng = random.Random(4)
+
+    def fewest(left, loads):
+        if not left:
+            return len(loads)
+        best = fewest(left[1:], [*loads, left[0]])
+        for k, load in enumerate(loads):
+            if load + left[0] <= 100:
+                best = min(best, fewest(left[1:], [*loads[:k], load + left[0], *loads[k + 1 :]]))
+        return best
+
+    for _ in range(60):
+        lengths = sorted((rng.randint(5, 70) for _ in range(7)), reverse=True)
+        for rule in ("norm", "dot"):
+            bins = packing.best_fit(np.asarray(lengths), (100, 100, 10_000), (1.0, 0.05, 0.05), rule)
+            assert len(set(bins.tolist())) <= 11 / 9 * fewest(lengths, []) + 6 / 9
+
+
+def test_packing_deals_repeated_rows_to_all_groups(spark):
+    path, ranks = token_counts.tokenizer_paths()
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    found = packing.pack_documents(rows, path, ranks, group_rows=500).groupBy(F.shiftright("sequence_id", 40).alias("part")).count().collect()
+    assert len(found) == 6 and max(r["count"] for r in found) < 700
+
+
 def test_substring_dedup(docs, empty):
     rows = substring_dedup.dedup_substrings(docs).collect()
     every, seen = [(i, re.findall(BLANK, t or "")) for i, t in pairs(docs)], {}
@@ -277,6 +303,40 @@ def test_language(spark, docs, empty):
     assert language_id.identify(docs, language_id.fit(table), keep=True).columns == [*docs.columns, "lang_pred", "score"]
 
 
+def test_language_network_against_loops():
+    rng = np.random.default_rng(3)
+    net = language_id.Network(["a", "b", "c"])
+    for q in net.params():
+        q += rng.normal(0, 0.2, q.shape).astype(np.float32)
+    x, y = rng.integers(97, 102, (6, language_id.WINDOW)).astype(np.uint8), np.asarray([0, 1, 2, 0, 1, 2])
+    want = []
+    for row in x.tolist():
+        hidden = []
+        for w in language_id.WIDTHS:
+            for f in range(language_id.FILTERS):
+                hidden.append(max(0.0, max(sum(float(net.filters[w][k][row[i + k]][f]) for k in range(w)) for i in range(len(row) - w + 1)) + float(net.bias[w][f])))
+        want.append([sum(h * float(net.out[j][c]) for j, h in enumerate(hidden)) + float(net.out_bias[c]) for c in range(3)])
+    assert np.allclose(net.scores(x, net.tables()), want, atol=1e-3)
+    net.filters, net.bias = ({w: v.astype(np.float64) for w, v in part.items()} for part in (net.filters, net.bias))
+    net.out, net.out_bias = net.out.astype(np.float64), net.out_bias.astype(np.float64)
+    loss, grads = net.loss_and_gradient(x.astype(np.int64), y)
+    for q, g in zip(net.params(), grads, strict=True):
+        for at in [tuple(rng.integers(0, n) for n in q.shape) for _ in range(20)] + [np.unravel_index(np.abs(g).argmax(), g.shape)]:
+            q[at] += 1e-6
+            more, _ = net.loss_and_gradient(x.astype(np.int64), y)
+            q[at] -= 1e-6
+            assert abs((more - loss) / 1e-6 - g[at]) < 1e-4
+
+
+def test_language_of_repeated_and_long_rows(spark):
+    rows = [(i, f"das ist ein kurzer satz {i}" if i % 2 else f"this is a short line {i}", "de" if i % 2 else "en") for i in range(80)]
+    rows += [rows[0]] * 40 + [(900, "this is a short line " * 20_000, "en"), (None, "das ist ein satz", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.identify(table, language_id.fit(table)).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    assert all(r.lang_pred == ("de" if r.doc_id is None or r.doc_id % 2 else "en") for r in found)
+
+
 def test_html(spark):
     pages = {
         1: "<html><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='ad'>Buy</div><article><h1>A &amp; B</h1><p>One\n two<br>three<p>Four <b>five</b></article><section class='comments'><p>nice text!</p></section><aside>side</aside><footer>&copy; x</footer></body></html>",
@@ -289,6 +349,43 @@ def test_html(spark):
     assert html_extract.extract_main_text(table.limit(0)).count() == 0
 
 
+def test_html_marginals_and_gradient():
+    """Messages against all labellings of a small tree; the gradient against differences of the likelihood."""
+    from itertools import product
+    from math import exp, log
+
+    page = html_extract.Page("<div class=ad><p>a b</p><ul><li>c<li><b>d</b></ul></div><article><p>e")
+    rng = random.Random(2)
+    kinds = ("inline", "section", "leaf", "part")
+    model = html_extract.Model({f: rng.uniform(-2, 2) for n in range(len(page.tag)) for f in page.features(n)}, {k: [[rng.uniform(-1, 1) for _ in "ab"] for _ in "ab"] for k in kinds})
+
+    def weight(labels):
+        own = sum(model.unary[f] for n, x in enumerate(labels) if x for f in page.features(n))
+        return exp(own + sum(model.pair[html_extract._kind(page.tag[n])][labels[page.parent[n]]][labels[n]] for n in range(1, len(labels))))
+
+    every = {labels: weight(labels) for labels in product((0, 1), repeat=len(page.tag))}
+    total = sum(every.values())
+    want = [sum(w for labels, w in every.items() if labels[n]) / total for n in range(len(page.tag))]
+    assert np.allclose(model.marginals(page), want)
+    labels = [rng.randint(0, 1) for _ in page.tag]
+    value, unary, pair = html_extract.gradient(model, page, labels)
+    assert abs(value - log(every[tuple(labels)] / total)) < 1e-9
+    for potentials, key, place in [(model.unary, f, None) for f in unary] + [(model.pair, k, (a, b)) for k in kinds for a in (0, 1) for b in (0, 1)]:
+        at, key_ = (potentials, key) if place is None else (potentials[key][place[0]], place[1])
+        at[key_] += 1e-5
+        more = html_extract.gradient(model, page, labels)[0]
+        at[key_] -= 1e-5
+        assert abs((more - value) / 1e-5 - (unary[key] if place is None else pair[key][place])) < 1e-3
+
+
+def test_html_odd_pages(spark):
+    long = "<article>" + "".join(f"<p>block {i} of a long page with some words in it</p>" for i in range(4000)) + "</article>"
+    rows = [(1, "u", "<article><p>a < b and the rest of a sentence</p></article>"), (1, "u", "<article><p>a < b and the rest of a sentence</p></article>"), (None, None, "<article><p>Some text of a page</p><p title='x"), (2, "v", long), (3, "w", "plain words only"), (4, "x", "<article><p>a < b and the rest")]
+    got = Counter((r.page_id, r.url, r.text) for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got[(1, "u", "a < b and the rest of a sentence")] == 2 and got[(None, None, "Some text of a page")] == 1 and got[(4, "x", "a < b and the rest")] == 1
+    assert got[(2, "v", "\n".join(f"block {i} of a long page with some words in it" for i in range(4000)))] == 1
+
+
 def test_licenses(spark, docs, empty):
     rows = license_scan.scan_licenses(docs).collect()
     for r in rows:
@@ -346,6 +443,18 @@ def test_pipeline(spark, docs, tmp_path):
     assert {r.doc_id for r in out.collect()} == ids
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = "score lang_pred lang_found lang_score row row_ has_letter n_words".split()
+    table = spark.createDataFrame([(i, " ".join(f"word{i}x{k}" for k in range(40)), "en", *[float(-i)] * len(names)) for i in range(30)], "doc_id long, text string, lang string, " + ", ".join(f"{c} double" for c in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, str(tmp_path))
+        assert out.columns == table.columns
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, table.collect()))
+        assert stage(spark, table.limit(0), str(tmp_path)).count() == 0
+
+
 def test_pipeline_judges_rows_not_ids(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     text = lambda k: " ".join(f"{k}w{i}" for i in range(60))
