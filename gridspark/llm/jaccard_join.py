@@ -12,7 +12,7 @@ there: the T - 1 longest of the query's lists over these documents are set aside
 counts, and what can still reach T is looked up in the long lists by binary search. That gives the exact overlap.
 
 A group of near copies never yields all its pairs: first every list is searched for two of its documents only (the first
-id and the one that shares most of its lists), the links found are closed to components, and then only documents of
+id and the one with the least share of rarer shingles), the links found are closed to components, and then only documents of
 different components are searched for each other, which a list that lies in one component has none of. Exact copies are
 one class from the start.
 
@@ -145,8 +145,11 @@ def _postings(rows: DataFrame, n: int, table: bytes, t: Fraction, frequent: np.n
     return rows.mapInArrow(run, "bucket int, place binary, doc binary, size binary, at binary")
 
 
-def _lists(postings: DataFrame) -> DataFrame:
-    """(place, doc_id, n, i) of the lists that hold more than one document; i: the document's shingles before this one."""
+def _lists(postings: DataFrame, t: Fraction) -> DataFrame:
+    """kind 0: (place, doc_id, n, i, hub) of the lists that hold more than one document; i: the document's shingles before this one.
+
+    kind 1: pairs (place, doc_id) of a list's first or hub document and each other one that it can reach ``t`` with from here on.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         place, doc, size, at = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("place", np.uint64), ("doc", np.int64), ("size", np.uint32), ("at", np.uint32)))
@@ -154,29 +157,25 @@ def _lists(postings: DataFrame) -> DataFrame:
         same = np.zeros(len(order) + 1, bool)
         same[1:-1] = place[order][1:] == place[order][:-1]
         keep = order[same[:-1] | same[1:]]
-        return pa.table([pa.array(place[keep].view(np.int64)), pa.array(doc[keep]), pa.array(size[keep].astype(np.int64)), pa.array(at[keep].astype(np.int64))], ["place", "doc_id", "n", "i"])
-
-    return postings.groupBy("bucket").applyInArrow(run, "place long, doc_id long, n long, i long")
-
-
-def _can_link(t: Fraction, x: str = "x", y: str = "y"):
-    """The smaller set is at least ``t`` of the larger."""
-    return (F.least(f"n_{x}", f"n_{y}") * t.denominator) >= (F.greatest(f"n_{x}", f"n_{y}") * t.numerator)
-
-
-def _need(t: Fraction, n_x: str = "n_x", n_y: str = "n_y"):
+        place, doc, size, at = place[keep], doc[keep], size[keep].astype(np.int64), at[keep].astype(np.int64)
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(place))))
+        heads = [np.lexsort((doc, place))[first][of], np.lexsort((doc, at / size, place))[first][of]]
+        x, y = np.concatenate(heads), np.tile(np.arange(len(place)), 2)
+        need = -(-t.numerator * (size[x] + size[y]) // (t.numerator + t.denominator))
+        ok = (doc[x] != doc[y]) & (np.minimum(size[x] - at[x], size[y] - at[y]) >= need)
+        pairs = np.unique(np.stack((doc[x][ok], doc[y][ok])), axis=1) if ok.any() else np.zeros((2, 0), np.int64)
+        zero = np.zeros(pairs.shape[1], np.int64)
+        both = lambda own, other: pa.array(np.concatenate((own, other)))
+        kind = np.repeat(np.asarray([0, 1], np.int32), [len(place), len(zero)])
+        return pa.table([pa.array(kind), both(place.view(np.int64), pairs[0]), both(doc, pairs[1]), both(size, zero), both(at, zero), both(doc[heads[1]], zero)], ["kind", "place", "doc_id", "n", "i", "hub"])
+
+    return postings.groupBy("bucket").applyInArrow(run, "kind int, place long, doc_id long, n long, i long, hub long")
+
+
+def _need(t: Fraction):
     """T of two sets of these sizes."""
-    return F.ceil((F.col(n_x) + F.col(n_y)) * t.numerator / (t.numerator + t.denominator) - 1e-9)
-
-
-def _reaches(t: Fraction):
-    """What shared short lists and the remaining long ones allow for at most reaches the needed overlap.
-
-    Of the two documents' shortest lists, those up to the earlier of their ends hold every common shingle that comes so early;
-    ``left`` is what the smaller of the two has from the first common one on.
-    """
-    rest = lambda v: F.col(f"n_{v}") - (F.col(f"n_{v}") - F.ceil(F.col(f"n_{v}") * t.numerator / t.denominator - 1e-9) + 1)
-    return (F.col("shared") + F.greatest(rest("x"), rest("y")) >= _need(t)) & (F.col("left") >= _need(t))
+    return F.ceil((F.col("n_x") + F.col("n_y")) * t.numerator / (t.numerator + t.denominator) - 1e-9)
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray], t: Fraction) -> np.ndarray:
@@ -265,30 +264,33 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return edges.select(F.col("u").alias("doc_id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("doc_id"), F.col("v").alias("component"))).distinct()
 
 
-def _across(placed: DataFrame, t: Fraction) -> DataFrame:
+def _across(lists: DataFrame, found: DataFrame, t: Fraction) -> DataFrame:
     """Pairs (x, y) of different components that can reach ``t`` going by the list that they meet in first.
 
     A document that has i shingles before the list's can only reach sets of at most ``far`` shingles from there. So the larger
     set's size lies between the smaller one's and its ``far``, which bands of sizes find without looking at other pairs; the
-    list's most frequent component is not joined to itself.
+    component of the list's hub is not joined to itself.
     """
-    per = placed.groupBy("place", "c").agg(F.count("*").alias("m")).groupBy("place").agg(F.count("*").alias("kinds"), F.max(F.struct("m", "c")).alias("most"))
-    mixed = placed.join(per.filter("kinds > 1").select("place", F.col("most.c").alias("major")), "place")
+    few = found.count() <= BROADCAST_ROWS
+    of = lambda key, name: F.broadcast(found.select(F.col("doc_id").alias(key), F.col("component").alias(name))) if few else found.select(F.col("doc_id").alias(key), F.col("component").alias(name))
     far = F.floor(((F.col("n") - F.col("i")) * (t.numerator + t.denominator) - F.col("n") * t.numerator) / t.numerator)
-    band = lambda size: F.floor(F.log(size) * 50).cast("int")  # noqa: E731  two per cent wide
-    mixed = mixed.withColumn("far", far).withColumn("is_major", F.col("c") == F.col("major"))
-    asks = mixed.filter("far >= n").select("place", F.explode(F.sequence(band(F.col("n")), band(F.col("far")))).alias("band"), F.col("is_major").alias("for_major"), F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), F.col("far").alias("far_x"))
+    band = lambda size: F.floor(F.log(size) * 10).cast("int")  # noqa: E731  a tenth wide
+    placed = lists.join(of("doc_id", "own"), "doc_id", "left").join(of("hub", "hubs"), "hub", "left")
+    placed = placed.select("place", "doc_id", "n", F.coalesce("own", "doc_id").alias("c"), (F.coalesce("own", "doc_id") == F.coalesce("hubs", "hub")).alias("is_major"), far.alias("far"))
+    asks = placed.filter("far >= n").select("place", F.explode(F.sequence(band(F.col("n")), band(F.col("far")))).alias("band"), F.col("is_major").alias("for_major"), F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), F.col("far").alias("far_x"))
     sought = F.when(F.col("is_major"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-    holds = mixed.select("place", band(F.col("n")).alias("band"), F.explode(sought).alias("for_major"), F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), F.col("far").alias("far_y"))
+    holds = placed.select("place", band(F.col("n")).alias("band"), F.explode(sought).alias("for_major"), F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), F.col("far").alias("far_y"))
     met = asks.join(holds, ["place", "band", "for_major"]).filter("c_x != c_y and n_y between n_x and far_x and n_x <= far_y and (n_x < n_y or x < y)")
     return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def _close(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """The pairs whose parity bits allow for the overlap they need."""
-    own = lambda v: sets.select(F.col("doc_id").alias(v), F.col("n").alias(f"n_{v}"), F.col("bits").alias(f"bits_{v}"))
+    pairs = stored(pairs, "met")
+    few = pairs.count() <= BROADCAST_ROWS
+    own = lambda v: sets.select(F.col("doc_id").alias(v), F.col("n").alias(f"n_{v}"), F.col("bits").alias(f"bits_{v}")).join(F.broadcast(pairs) if few else pairs, v)
     differ = F.aggregate(F.zip_with("bits_x", "bits_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, k: total + k)
-    return pairs.join(own("x"), "x").join(own("y"), "y").filter(F.col("n_x") + F.col("n_y") - differ >= 2 * _need(t)).select("x", "y").distinct()
+    return own("x").join(own("y"), ["x", "y"]).filter(F.col("n_x") + F.col("n_y") - differ >= 2 * _need(t)).select("x", "y").distinct()
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
@@ -306,23 +308,16 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     chosen = _texts_of(rows, reps, classes.count())
     buckets = max(1, size // BUCKET_BYTES)
-    lists = stored(_lists(_postings(chosen, n, table, t, frequent, buckets)), "lists")
+    met = stored(_lists(_postings(chosen, n, table, t, frequent, buckets), t), "lists")
+    shown, known = met.filter("kind = 0").drop("kind"), sets.filter("n > 0")
 
     # first round: each list against two of its documents
-    degree = lists.groupBy("doc_id").agg(F.count("*").alias("deg"))
-    ranked = lists.join(degree, "doc_id").withColumn("share", F.col("deg") / F.col("n"))
-    head = lambda name: F.struct(*(F.col(f"{name}.{c}").alias(c) for c in ("doc_id", "n", "i")))
-    heads = ranked.groupBy("place").agg(F.min(F.struct("doc_id", "n", "i")).alias("low"), F.max(F.struct("share", -F.col("doc_id"), "doc_id", "n", "i")).alias("hub"))
-    heads = heads.select("place", F.explode(F.array(head("low"), head("hub"))).alias("h")).select("place", F.col("h.doc_id").alias("x"), F.col("h.n").alias("n_x"), F.col("h.i").alias("i_x")).distinct()
-    left = F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"))
-    stars = lists.join(heads, "place").select("x", "n_x", "i_x", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("i").alias("i_y")).filter("x != y").filter(_can_link(t))
-    stars = stars.groupBy("x", "n_x", "y", "n_y").agg(F.count("*").alias("shared"), F.max(left).alias("left")).filter(_reaches(t))
-    links = _verified(rows, stars, n, table, t)
+    stars = met.filter("kind = 1").select(F.col("place").alias("x"), F.col("doc_id").alias("y")).distinct()
+    links = _verified(rows, _close(stars, known, t), n, table, t)
     found = stored(components(links), "components")
 
     # second round: documents of different components that meet in a list
-    placed = lists.join(found, "doc_id", "left").select("place", "doc_id", "n", "i", F.coalesce("component", "doc_id").alias("c"))
-    across = _close(_across(placed, t), sets.filter("n > 0"), t)
+    across = _close(_across(shown, found, t), known, t)
     more = _verified(rows, across, n, table, t)
     every = links.unionByName(more).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     grown = found.select(F.col("component").alias("x"), F.col("doc_id").alias("y")).unionByName(more)  # the first closure stands for its links
