@@ -2,6 +2,10 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
 the columns of ``documents``.
+
+Defined cases, in every stage: rows are judged by their own texts, whatever ids they share or lack; a null or empty text has
+no language and goes in the first stage; of rows with equal or near-equal texts the smallest id stays, null ids last, and of
+rows that repeat id and text one; an empty table stays empty; other columns keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.llm import decontamination, jaccard_join, language_id, packing, substring_dedup, token_counts
-from gridspark.llm.storage import stored
+from gridspark.llm.storage import stored, unused
 
 #: Least score of a language; texts below it have none and go.
 LEAST_SCORE = 0.3
@@ -20,8 +24,9 @@ SHINGLE, SIMILARITY = 5, "0.8"
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what has no language: null texts, texts without a letter, and texts that no language scores high for."""
-    found = language_id.identify(docs, language_id.fit(docs), keep=True)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = unused(docs.columns, "lang_found"), unused(docs.columns, "lang_score")
+    found = language_id.identify(docs, language_id.fit(docs), keep=True, lang_out=lang, score_out=score)
+    return found.filter((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +46,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A row is known by its id and text, so a clean row stays whatever rows share its id or have none.
     """
     key = F.concat(F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n")), F.lit(":"), F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("n")))
-    keyed = docs.withColumn("row_", key)
-    found = decontamination.contaminated(decontamination.find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row_"))
-    gone = stored(found.filter("contaminated").select(F.col("doc_id").alias("row_")).distinct(), "contaminated")
+    row = unused(docs.columns, "row")
+    keyed = docs.withColumn(row, key)
+    found = decontamination.contaminated(decontamination.find_contamination(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row))
+    gone = stored(found.filter("contaminated").select(F.col("doc_id").alias(row)).distinct(), "contaminated")
     few = gone.count() <= jaccard_join.BROADCAST_ROWS
-    return keyed.join(F.broadcast(gone) if few else gone, "row_", "left_anti").select(*docs.columns)
+    return keyed.join(F.broadcast(gone) if few else gone, row, "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
