@@ -88,5 +88,28 @@ def orphans(df: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -
     return df.join(dimension.select(F.col(dimension_key).alias(key)).distinct(), key, "left_anti")
 
 
+def totals_off(df: DataFrame, total_col: str, parts: list[str], tolerance: float = 0.1) -> DataFrame:
+    """Rows whose total differs from the sum of its parts, NULL parts as 0, by more than the tolerance."""
+    parts_sum = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in parts), F.lit(0.0))
+    return df.withColumn("parts_sum", parts_sum).filter(F.abs(F.col(total_col) - F.col("parts_sum")) > tolerance)
+
+
+def negatives(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n, least) of columns that hold negative values, in one pass."""
+    counts = df.agg(*(F.struct(F.lit(c).alias("column"), F.count_if(F.col(c) < 0).alias("n"), F.min(c).cast("double").alias("least")).alias(f"c{k}") for k, c in enumerate(columns)))
+    return counts.select(F.explode(F.array(*(f"c{k}" for k in range(len(columns))))).alias("x")).select("x.*").filter("n > 0")
+
+
+#: The tables that may be read by name.
+TABLES = frozenset("energy_load energy_price energy_generation energy_renewable energy_load_forecast energy_generation_forecast crossborder_flows net_position weather_observation weather_data data_ingestion_log".split())
+
+
+def allowed_table(name: str, tables: frozenset[str] = TABLES) -> str:
+    """The name, if a registry of tables has it; anything else (a path, a query, another spelling) is an error."""
+    if name not in tables:
+        raise ValueError(f"unknown table: {name!r}")
+    return name
+
+
 def drop_null_marker(df: DataFrame, marker_col: str) -> DataFrame:
     return df.filter(F.col(marker_col).isNotNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timeseries import exact, seconds, total
+from .timeseries import number, seconds, total
 
 
 def range_summary(df: DataFrame, keys: list[str], ts_col: str) -> DataFrame:
@@ -28,7 +28,7 @@ def coverage_grid(df: DataFrame, dimension: DataFrame, key: str, kind_col: str,
 
 def run_accounting(df: DataFrame, pass_cols: list[str], id_col: str, ts_col: str, order_cols: list[str], rows_col: str) -> DataFrame:
     """Runs, log rows, wall clock and the amount that each run's latest log row states, by pass. A run's rows add up before passes do."""
-    latest = F.max_by(exact(rows_col), F.struct(ts_col, *order_cols))
+    latest = F.max_by(number(rows_col), F.struct(ts_col, *order_cols))
     runs = df.groupBy(*pass_cols, id_col).agg(F.count("*").alias("k"), F.min(ts_col).alias("a"), F.max(ts_col).alias("b"), latest.alias("v"))
     wall = seconds(F.max("b")) - seconds(F.min("a"))
     return runs.groupBy(*pass_cols).agg(F.count("*").alias("runs"), F.sum("k").alias("n_rows"), F.min("a").alias("first_at"), F.max("b").alias("last_at"), wall.alias("wall_seconds"), F.sum("v").cast("double").alias("latest_total"))
@@ -37,7 +37,7 @@ def run_accounting(df: DataFrame, pass_cols: list[str], id_col: str, ts_col: str
 def pair_ratio(df: DataFrame, ts_col: str, num: str, den: str, split: str) -> DataFrame:
     """Ratio of two paired sums on either side of a split; rows without an instant are counted, and left out."""
     at = F.lit(split).cast("timestamp_ntz")
-    ratio = lambda side: F.sum(F.when(side, exact(num))).cast("double") / F.nullif(F.sum(F.when(side, exact(den))).cast("double"), F.lit(0.0))
+    ratio = lambda side: F.sum(F.when(side, number(num))).cast("double") / F.nullif(F.sum(F.when(side, number(den))).cast("double"), F.lit(0.0))
     before, after = F.col(ts_col) < at, F.col(ts_col) >= at
     sums = df.agg(F.count(ts_col).alias("n"), F.count_if(F.col(ts_col).isNull()).alias("excluded"), ratio(before).alias("ratio_before"), ratio(after).alias("ratio_after"))
     return sums.withColumn("effect", F.col("ratio_after") / F.nullif("ratio_before", F.lit(0.0)))
@@ -51,26 +51,45 @@ def surrogate_rate(df: DataFrame, keys: list[str], a: str, b: str, tolerance: fl
 
 def _errors(error: Column, name: str = "") -> list[Column]:
     n = F.count(error)
-    return [n.alias(f"n{name}"), (F.sum(F.abs(error)).cast("double") / n).alias(f"mae{name}"), F.round(F.sqrt(F.sum(error * error).cast("double") / n), 6).alias(f"rmse{name}"), (F.sum(error).cast("double") / n).alias(f"bias{name}")]
+    return [n.alias(f"n{name}"), (F.sum(F.abs(error)).cast("double") / n).alias(f"mae{name}"), F.sqrt(F.sum(error * error).cast("double") / n).alias(f"rmse{name}"), (F.sum(error).cast("double") / n).alias(f"bias{name}")]
 
 
 def skill(df: DataFrame, keys: list[str], forecast: Column, truth: Column, threshold: float = 0.0) -> DataFrame:
     """MAE, RMSE and bias (forecast - truth) where the truth is above a threshold."""
-    return df.filter(truth > threshold).groupBy(*keys).agg(*_errors(exact(forecast) - exact(truth)))
+    return df.filter(truth > threshold).groupBy(*keys).agg(*_errors(forecast - truth))
 
 
 def naive_skill(hourly: DataFrame, keys: list[str], ts_col: str, value_col: str) -> DataFrame:
     """Errors of the two naive forecasts, the hour before and the same hour a day before; an absent hour is no forecast."""
     by_hour = Window.partitionBy(*keys).orderBy("hour_")
     at = lambda h: F.max("v_").over(by_hour.rangeBetween(-h, -h))
-    rows = hourly.select(*keys, F.floor(seconds(ts_col) / 3600).alias("hour_"), F.col(value_col).cast("decimal(18,4)").alias("v_"))
+    rows = hourly.select(*keys, F.floor(seconds(ts_col) / 3600).alias("hour_"), F.col(value_col).alias("v_"))
     errors = rows.select(*keys, (at(1) - F.col("v_")).alias("e1"), (at(24) - F.col("v_")).alias("e24"))
     return errors.groupBy(*keys).agg(*_errors(F.col("e1"), "_previous"), *_errors(F.col("e24"), "_seasonal"))
 
 
+def forecast_metrics(hourly: DataFrame, keys: list[str], ts_col: str, truth_col: str, forecast_col: str, season: int = 24) -> DataFrame:
+    """Errors of a forecast, and against the two naive ones where those exist: MAPE leaves out zero truths, MASE scales by the
+    seasonal naive error, direction compares the signs of both changes since the hour before, skill is 1 - MAE / naive MAE."""
+    by_hour = Window.partitionBy(*keys).orderBy("hour_")
+    before = lambda h: F.max("y_").over(by_hour.rangeBetween(-h, -h))
+    rows = hourly.select(*keys, F.floor(seconds(ts_col) / 3600).alias("hour_"), F.col(truth_col).alias("y_"), F.col(forecast_col).alias("f_"))
+    rows = rows.withColumn("y1_", before(1)).withColumn("ys_", before(season))
+    y, f, e = F.col("y_"), F.col("f_"), F.abs(F.col("f_") - F.col("y_"))
+    persistence, seasonal = F.abs(y - F.col("y1_")), F.abs(y - F.col("ys_"))
+    same_way = (F.signum(f - F.col("y1_")) == F.signum(y - F.col("y1_"))).cast("int")
+    skill_against = lambda naive: 1 - F.avg(F.when(naive.isNotNull(), e)) / F.nullif(F.avg(F.when(e.isNotNull(), naive)), F.lit(0.0))
+    return rows.groupBy(*keys).agg(
+        F.count(e).alias("n"), F.avg(e).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        (100 * F.avg(F.when(y != 0, e / F.abs(y)))).alias("mape"), (100 * F.avg(2 * e / F.nullif(F.abs(y) + F.abs(f), F.lit(0.0)))).alias("smape"),
+        (F.avg(e) / F.nullif(F.avg(seasonal), F.lit(0.0))).alias("mase"), (100 * F.avg(same_way)).alias("direction"),
+        skill_against(persistence).alias("skill_persistence"), skill_against(seasonal).alias("skill_seasonal"),
+    )
+
+
 def share_ranking(df: DataFrame, keys: list[str], part: Column, value_col: str) -> DataFrame:
     """Share of the rows that ``part`` marks in each key's total, and its rank among all keys (a few, after the aggregation)."""
-    share = F.coalesce(F.sum(F.when(part, exact(value_col))).cast("double"), F.lit(0.0)) / F.nullif(total(value_col), F.lit(0.0))
+    share = F.coalesce(F.sum(F.when(part, number(value_col))).cast("double"), F.lit(0.0)) / F.nullif(total(value_col), F.lit(0.0))
     return df.groupBy(*keys).agg(share.alias("share")).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("share"), *keys)))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timeseries import exact, seconds
+from .timeseries import number, seconds
 
 
 def age_days(clock: str, target: str) -> Column:
@@ -28,7 +29,7 @@ def exposure(df: DataFrame, keys: list[str], age: Column, target_col: str, horiz
 def vintage_effect(df: DataFrame, keys: list[str], num: str, den: str, age: Column, horizon: float, min_rows: int = 200, tolerance: float = 0.10) -> DataFrame:
     """(sum num / sum den, aged) over (the same, young): paired rows only, enough of them in both bands."""
     paired = df.filter(F.col(num).isNotNull() & F.col(den).isNotNull() & age.isNotNull()).withColumn("old_", age >= horizon)
-    s = lambda c, old: F.sum(F.when(F.col("old_") == old, exact(c))).cast("double")
+    s = lambda c, old: F.sum(F.when(F.col("old_") == old, number(c))).cast("double")
     n = lambda old: F.sum((F.col("old_") == old).cast("int"))
     grouped = paired.groupBy(*keys).agg(n(True).alias("n_old"), n(False).alias("n_young"), *(s(c, o).alias(f"{p}_{q}") for c, p in ((num, "g"), (den, "r")) for o, q in ((True, "old"), (False, "young"))))
     grouped = grouped.filter((F.col("n_old") >= min_rows) & (F.col("n_young") >= min_rows) & (F.col("r_old") != 0) & (F.col("r_young") != 0) & (F.col("g_young") != 0) & (F.col("g_old") != 0))
@@ -46,7 +47,7 @@ def verdicts(screened: DataFrame, confirmed: DataFrame, keys: list[str], toleran
 
 def age_profile(df: DataFrame, num: str, den: str, age: Column, width: float = 2.0, bins: int = 24, least: int = 50) -> DataFrame:
     binned = df.withColumn("bin", F.floor(age / width)).filter((F.col("bin") >= 0) & (F.col("bin") < bins))
-    ratio = F.sum(exact(num)).cast("double") / F.nullif(F.sum(exact(den)).cast("double"), F.lit(0.0))
+    ratio = F.sum(number(num)).cast("double") / F.nullif(F.sum(number(den)).cast("double"), F.lit(0.0))
     return binned.groupBy("bin").agg(F.count("*").alias("n"), ratio.alias("ratio")).filter(F.col("n") >= least)
 
 
@@ -54,8 +55,8 @@ def step_scan(df: DataFrame, keys: list[str], num: str, den: str, age: Column, h
     """For every split h the ratios in [h - half, h) and [h, h + half): ages are binned to the step and windows slide over bins."""
     k = int(half / step)
     bins = df.withColumn("b", F.floor(age / step).cast("int")).filter((F.col("b") >= int(low / step) - k) & (F.col("b") < int(high / step) + k))
-    sums = bins.groupBy(*keys, "b").agg(F.count("*").alias("n"), F.sum(exact(num)).alias("g"), F.sum(exact(den)).alias("r"))
-    splits = df.select(*keys).distinct().withColumn("b", F.explode(F.sequence(F.lit(int(low / step)), F.lit(int(high / step)))))
+    sums = bins.groupBy(*keys, "b").agg(F.count("*").alias("n"), F.sum(number(num)).alias("g"), F.sum(number(den)).alias("r"))
+    splits = sums.select(*keys).distinct().withColumn("b", F.explode(F.sequence(F.lit(int(low / step)), F.lit(int(high / step)))))
     full = splits.withColumn("is_split", F.lit(True)).join(sums, [*keys, "b"], "full")
     order = Window.partitionBy(*keys).orderBy("b")
     left, right = order.rangeBetween(-k, -1), order.rangeBetween(0, k - 1)
@@ -73,20 +74,38 @@ def step_detector(df: DataFrame, keys: list[str], num: str, den: str, age: Colum
     return best.withColumn("is_boundary", F.col("jump") >= least_jump)
 
 
-def split_effects(df: DataFrame, ts_col: str, value_col: str, splits: list[str], days: int = 10) -> DataFrame:
-    """Mean before and after each of several splits in one pass (the real one and its placebos)."""
+def split_effects(df: DataFrame, ts_col: str, value_col: str, splits: list[str], days: int = 10, within: tuple[str, str] | None = None) -> DataFrame:
+    """Mean before and after each of several splits in one pass (the real one and its placebos).
+
+    ``within``: splits whose window doesn't lie wholly in this range are left out, as placebos must lie inside one band.
+    """
+    if within:
+        inside = lambda s: pd.Timestamp(within[0]) <= pd.Timestamp(s) - pd.Timedelta(days=days) and pd.Timestamp(s) + pd.Timedelta(days=days) <= pd.Timestamp(within[1])
+        splits = [s for s in splits if inside(s)]
     every = F.array(*(F.lit(s).cast("timestamp_ntz") for s in splits))
     rows = df.withColumn("split", F.explode(every)).withColumn("d", (seconds(ts_col) - seconds("split")) / 86_400).filter((F.col("d") >= -days) & (F.col("d") < days))
-    mean = lambda after: F.sum(F.when((F.col("d") >= 0) == after, exact(value_col))).cast("double") / F.sum(((F.col("d") >= 0) == after).cast("int"))
-    return rows.groupBy("split").agg(F.count("*").alias("n"), mean(False).alias("before"), mean(True).alias("after")).withColumn("effect", F.col("after") / F.col("before"))
+    mean = lambda after: F.sum(F.when((F.col("d") >= 0) == after, number(value_col))).cast("double") / F.sum(((F.col("d") >= 0) == after).cast("int"))
+    return rows.groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("d") < 0).alias("n_before"), F.count_if(F.col("d") >= 0).alias("n_after"), mean(False).alias("before"), mean(True).alias("after")).withColumn("effect", F.col("after") / F.col("before"))
 
 
 def two_samples(df: DataFrame, after: Column, value_col: str) -> DataFrame:
     """n, mean, population sd and standard error of each side."""
-    v = exact(value_col)
-    n, s, q = F.count("*"), F.sum(v).cast("double"), F.sum(v * v).cast("double")
-    sd = F.sqrt(F.greatest(q / n - (s / n) * (s / n), F.lit(0.0)))
-    return df.withColumn("side", F.when(after, "after").otherwise("before")).groupBy("side").agg(n.alias("n"), (s / n).alias("mean_value"), F.round(sd, 6).alias("sd"), F.round(sd / F.sqrt(n.cast("double")), 6).alias("se"))
+    n, sd = F.count(value_col), F.stddev_pop(value_col)
+    return df.withColumn("side", F.when(after, "after").otherwise("before")).groupBy("side").agg(n.alias("n"), F.avg(value_col).alias("mean_value"), sd.alias("sd"), (sd / F.sqrt(n.cast("double"))).alias("se"))
+
+
+def minimum_detectable_effect(sides: DataFrame, reference: str = "after", errors: float = 2.0) -> DataFrame:
+    """The smallest relative shift of level that two samples could show: some standard errors of their difference over the mean."""
+    mean = F.max(F.when(F.col("side") == reference, F.col("mean_value")))
+    return sides.agg(F.sum("n").alias("n"), (errors * F.sqrt(F.sum(F.col("se") * F.col("se"))) / F.nullif(mean, F.lit(0.0))).alias("min_detectable_effect"))
+
+
+def placebo_verdict(effects: DataFrame, real: str, least: int = 1000, factor: float = 3.0) -> DataFrame:
+    """Whether the real split's shift is more than ``factor`` times the largest of its placebos; too small samples don't count."""
+    rows = effects.filter((F.col("n_before") >= least) & (F.col("n_after") >= least)).withColumn("shift", F.abs(F.col("effect") - 1))
+    is_real = F.col("split") == F.lit(real).cast("timestamp_ntz")
+    both = rows.agg(F.max(F.when(is_real, F.col("shift"))).alias("real_shift"), F.max(F.when(~is_real, F.col("shift"))).alias("worst_placebo"), F.count_if(~is_real).alias("placebos"))
+    return both.withColumn("is_effect", F.col("real_shift") > factor * F.col("worst_placebo"))
 
 
 def write_sessions(df: DataFrame, clock_col: str, age: Column, horizon: float, least: int) -> DataFrame:

@@ -7,15 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .timeseries import exact, total
+from .timeseries import number, total
 
 
 def net_sides(df: DataFrame, keys: list[str], side_col: str, value_col: str, plus: str = "aggregated", minus: str = "consumption") -> DataFrame:
     """Signed netting: both sides a - c; one side counts the other as 0; neither is NULL."""
-    a, c = (F.sum(F.when(F.col(side_col) == s, exact(value_col))) for s in (plus, minus))
+    a, c = (F.sum(F.when(F.col(side_col) == s, number(value_col))) for s in (plus, minus))
     grouped = df.groupBy(*keys).agg(a.alias("a"), c.alias("c"))
-    zero = F.lit(0).cast("decimal(18,2)")
-    net = F.when(F.col("a").isNull() & F.col("c").isNull(), None).otherwise(F.coalesce("a", zero) - F.coalesce("c", zero))
+    net = F.when(F.col("a").isNull() & F.col("c").isNull(), None).otherwise(F.coalesce("a", F.lit(0)) - F.coalesce("c", F.lit(0)))
     return grouped.select(*keys, net.cast("double").alias("net_value"))
 
 
@@ -30,7 +29,7 @@ def map_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str, mapp
     sums = []
     for column in columns:
         names = [n for n, c in mapping.items() if c == column]
-        value = F.sum(F.when(F.col(name_col).isin(names), exact(value_col))).cast("double")
+        value = F.sum(F.when(F.col(name_col).isin(names), number(value_col))).cast("double")
         sums.append((value if absent is None else F.coalesce(value, F.lit(absent))).alias(column))
     return df.groupBy(*keys).agg(*sums)
 
@@ -52,7 +51,7 @@ def lookup(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value:
 
 def min_max_envelope(df: DataFrame, keys: list[str], kind_col: str, value_col: str) -> DataFrame:
     """Lower and upper bounds and their midpoint; a bound that is missing takes the other's value."""
-    low, high = (F.max(F.when(F.col(kind_col) == k, exact(value_col))).cast("double") for k in ("min", "max"))
+    low, high = (F.max(F.when(F.col(kind_col) == k, number(value_col))).cast("double") for k in ("min", "max"))
     both = df.groupBy(*keys).agg(low.alias("lo"), high.alias("hi"))
     lo, hi = F.coalesce("lo", "hi"), F.coalesce("hi", "lo")
     return both.select(*keys, lo.alias("value_min"), hi.alias("value_max"), ((lo + hi) / 2).alias("value_mid"))

@@ -21,14 +21,13 @@ def floor_to(ts: str | Column, unit: str) -> Column:
     return F.date_trunc(unit, ts).cast("timestamp_ntz")
 
 
-def exact(value: str | Column) -> Column:
-    """Two-decimal amounts as decimals, whose sums don't depend on the order of rows."""
-    value = F.col(value) if isinstance(value, str) else value
-    return value.cast("decimal(18,2)")
+def number(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
 
 def total(value: str | Column) -> Column:
-    return F.sum(exact(value)).cast("double")
+    """The sum as a double: of doubles as they are, of decimals exact."""
+    return F.sum(number(value)).cast("double")
 
 
 def mean(value: str | Column) -> Column:
@@ -48,8 +47,8 @@ def gap_counts(hourly: DataFrame, keys: list[str], ts_col: str = "ts") -> DataFr
 
 def sum_then_mean(df: DataFrame, keys: list[str], ts_col: str, value_col: str) -> DataFrame:
     """Values of one instant are added up (zones of a country) before the hourly mean is taken."""
-    instant = df.filter(F.col(value_col).isNotNull()).groupBy(*keys, floor_to(ts_col, "minute").alias("at")).agg(F.sum(exact(value_col)).alias("s"))
-    return instant.groupBy(*keys, floor_to("at", "hour").alias("ts")).agg((F.sum("s").cast("double") / F.count("*")).alias("mean_value"))
+    instant = df.filter(F.col(value_col).isNotNull()).groupBy(*keys, floor_to(ts_col, "minute").alias("at")).agg(total(value_col).alias("s"))
+    return instant.groupBy(*keys, floor_to("at", "hour").alias("ts")).agg(mean("s").alias("mean_value"))
 
 
 def group_mean(df: DataFrame, keys: list[str], value_col: str) -> DataFrame:
@@ -59,9 +58,9 @@ def group_mean(df: DataFrame, keys: list[str], value_col: str) -> DataFrame:
 
 def weighted_mean(df: DataFrame, keys: list[str], value_col: str, weight_col: str) -> DataFrame:
     """Sum of v * w over the sum of w where v is there; ``n_points`` counts the rows without v too."""
-    v, w = exact(value_col), exact(weight_col)
-    weight = F.sum(F.when(F.col(value_col).isNotNull(), w)).cast("double")
-    return df.groupBy(*keys).agg((F.sum(v * w).cast("double") / F.nullif(weight, F.lit(0.0))).alias("weighted"), F.count("*").alias("n_points"))
+    v, w = F.col(value_col), F.col(weight_col)
+    weight = total(F.when(v.isNotNull(), w))
+    return df.groupBy(*keys).agg((total(v * w) / F.nullif(weight, F.lit(0.0))).alias("weighted"), F.count("*").alias("n_points"))
 
 
 def collapse_duplicates(df: DataFrame, keys: list[str], value_col: str) -> DataFrame:
@@ -117,7 +116,7 @@ def decimate(df: DataFrame, ts_col: str) -> DataFrame:
 
 def rank_and_share(df: DataFrame, keys: list[str], value_col: str, tie_col: str) -> DataFrame:
     by = Window.partitionBy(*keys)
-    return df.withColumn("rank_in_group", F.row_number().over(by.orderBy(F.desc(value_col), tie_col))).withColumn("share", exact(value_col).cast("double") / F.sum(exact(value_col)).over(by).cast("double"))
+    return df.withColumn("rank_in_group", F.row_number().over(by.orderBy(F.desc(value_col), tie_col))).withColumn("share", F.col(value_col).cast("double") / F.sum(value_col).over(by).cast("double"))
 
 
 def chunks(df: DataFrame, start_col: str, end_col: str, days: int = 90) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import shape as sh
 from ..operators import timeseries as ts
 from ..sources.sinks import scratch_folder
 from ..streaming import jobs
-from .catalog import _D, _SQL, _query
+from .catalog import _SQL, _query
 
 
 @_query("SELECT l_returnflag, l_linestatus, count(*) AS n, min(l_shipdate) AS first_at, max(l_shipdate) AS last_at, count(DISTINCT date_trunc('month', l_shipdate)) AS months FROM lineitem GROUP BY ALL")
@@ -20,7 +20,7 @@ def range_summary(t):
     return rp.range_summary(t("lineitem"), ["l_returnflag", "l_linestatus"], "l_shipdate")
 
 
-@_query(f"SELECT event_type, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at, CAST(sum({_D('value')}) AS DOUBLE) / count(value) AS mean_value FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL")
+@_query(f"SELECT event_type, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at, sum(value) / count(value) AS mean_value FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY ALL", digits="mean_value")
 def source_row_counts(t):
     return rp.source_counts(t("events"), ["event_type"], "ts", "value", "2024-01-15 00:00:00")
 
@@ -29,13 +29,13 @@ def source_row_counts(t):
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
-@_query(f"SELECT n_nationkey AS c_nationkey, s AS c_mktsegment, count(c_custkey) AS n, coalesce(CAST(sum({_D('c_acctbal')}) AS DOUBLE), 0) AS value_sum FROM nation CROSS JOIN (SELECT unnest({SEGMENTS}) AS s) LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = s GROUP BY ALL")
+@_query(f"SELECT n_nationkey AS c_nationkey, s AS c_mktsegment, count(c_custkey) AS n, coalesce(sum(c_acctbal), 0) AS value_sum FROM nation CROSS JOIN (SELECT unnest({SEGMENTS}) AS s) LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = s GROUP BY ALL", digits="value_sum")
 def coverage_grid(t):
     nations = t("nation").select(F.col("n_nationkey").alias("c_nationkey"))
     return rp.coverage_grid(t("customer"), nations, "c_nationkey", "c_mktsegment", SEGMENTS, "c_acctbal")
 
 
-@_query(f"SELECT event_type, CAST(a AS DATE) AS day, count(*) AS runs, CAST(sum(k) AS BIGINT) AS n_rows, min(a) AS first_at, max(b) AS last_at, (epoch_us(max(b)) - epoch_us(min(a))) / 1000000::DOUBLE AS wall_seconds, CAST(sum(v) AS DOUBLE) AS latest_total FROM (SELECT event_type, user_id, count(*) AS k, min(ts) AS a, max(ts) AS b, max_by({_D('value')}, (ts, event_id)) AS v FROM events GROUP BY event_type, user_id, CAST(ts AS DATE)) GROUP BY ALL")
+@_query(f"SELECT event_type, CAST(a AS DATE) AS day, count(*) AS runs, CAST(sum(k) AS BIGINT) AS n_rows, min(a) AS first_at, max(b) AS last_at, (epoch_us(max(b)) - epoch_us(min(a))) / 1000000::DOUBLE AS wall_seconds, sum(v) AS latest_total FROM (SELECT event_type, user_id, count(*) AS k, min(ts) AS a, max(ts) AS b, max_by(value, (ts, event_id)) AS v FROM events GROUP BY event_type, user_id, CAST(ts AS DATE)) GROUP BY ALL", digits="latest_total")
 def run_accounting(t):
     rows = t("events").withColumn("day", F.to_date("ts"))
     return rp.run_accounting(rows, ["event_type", "day"], "user_id", "ts", ["event_id"], "value").withColumn("wall_seconds", F.round("wall_seconds", 6))
@@ -45,13 +45,13 @@ _PAIRED = "lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partke
 
 
 def _ratio(side: str) -> str:
-    return f"CAST(sum({_D('l_extendedprice')}) FILTER (WHERE {side}) AS DOUBLE) / CAST(sum({_D('l_quantity * p_retailprice')}) FILTER (WHERE {side}) AS DOUBLE)"
+    return f"CAST(sum(l_extendedprice) FILTER (WHERE {side}) AS DOUBLE) / CAST(sum(l_quantity * p_retailprice) FILTER (WHERE {side}) AS DOUBLE)"
 
 
 _SPLIT = "TIMESTAMP '1996-07-15'"
 
 
-@_query(f"SELECT *, ratio_after / ratio_before AS effect FROM (SELECT count(l_shipdate) AS n, count(*) FILTER (WHERE l_shipdate IS NULL) AS excluded, {_ratio(f'l_shipdate < {_SPLIT}')} AS ratio_before, {_ratio(f'l_shipdate >= {_SPLIT}')} AS ratio_after FROM {_PAIRED} WHERE o_orderdate >= TIMESTAMP '1996-05-01' AND o_orderdate < TIMESTAMP '1996-06-01')")
+@_query(f"SELECT *, ratio_after / ratio_before AS effect FROM (SELECT count(l_shipdate) AS n, count(*) FILTER (WHERE l_shipdate IS NULL) AS excluded, {_ratio(f'l_shipdate < {_SPLIT}')} AS ratio_before, {_ratio(f'l_shipdate >= {_SPLIT}')} AS ratio_after FROM {_PAIRED} WHERE o_orderdate >= TIMESTAMP '1996-05-01' AND o_orderdate < TIMESTAMP '1996-06-01')", digits="ratio_before ratio_after effect")
 def session_pair_ratio(t):
     session = t("orders").filter("o_orderdate >= timestamp_ntz '1996-05-01' and o_orderdate < timestamp_ntz '1996-06-01'")
     rows = t("lineitem").join(session, F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -63,11 +63,10 @@ def surrogate_rate(t):
     return rp.surrogate_rate(t("lineitem"), ["l_returnflag"], "l_tax", "l_discount", 0.001)
 
 
-_TRUTH = _D("l_quantity * p_retailprice")
-_MISS = f"({_D('l_extendedprice')} - {_TRUTH})"
+_MISS = "(l_extendedprice - l_quantity * p_retailprice)"
 
 
-@_query(f"SELECT CASE WHEN l_discount < 0.03 THEN 'low' WHEN l_discount <= 0.07 THEN 'middle' ELSE 'high' END AS regime, count(*) AS n, CAST(sum(abs({_MISS})) AS DOUBLE) / count(*) AS mae, round(sqrt(CAST(sum({_MISS} * {_MISS}) AS DOUBLE) / count(*)), 6) AS rmse, CAST(sum({_MISS}) AS DOUBLE) / count(*) AS bias FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity * p_retailprice > 1000 GROUP BY ALL")
+@_query(f"SELECT CASE WHEN l_discount < 0.03 THEN 'low' WHEN l_discount <= 0.07 THEN 'middle' ELSE 'high' END AS regime, count(*) AS n, sum(abs({_MISS})) / count(*) AS mae, sqrt(sum({_MISS} * {_MISS}) / count(*)) AS rmse, sum({_MISS}) / count(*) AS bias FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity * p_retailprice > 1000 GROUP BY ALL", digits="mae rmse bias")
 def skill_by_regime(t):
     rows = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     regime = F.when(F.col("l_discount") < 0.03, "low").when(F.col("l_discount") <= 0.07, "middle").otherwise("high")
@@ -75,15 +74,15 @@ def skill_by_regime(t):
 
 
 def _naive(e: str, name: str) -> str:
-    return f"count({e}) AS n_{name}, CAST(sum(abs({e})) AS DOUBLE) / count({e}) AS mae_{name}, round(sqrt(CAST(sum({e} * {e}) AS DOUBLE) / count({e})), 6) AS rmse_{name}, CAST(sum({e}) AS DOUBLE) / count({e}) AS bias_{name}"
+    return f"count({e}) AS n_{name}, sum(abs({e})) / count({e}) AS mae_{name}, sqrt(sum({e} * {e}) / count({e})) AS rmse_{name}, sum({e}) / count({e}) AS bias_{name}"
 
 
-@_query(f"WITH h AS (SELECT event_type, CAST(epoch(date_trunc('hour', ts)) / 3600 AS BIGINT) AS h, CAST(CAST(sum({_D('value')}) AS DOUBLE) / count(value) AS DECIMAL(18,4)) AS v FROM events GROUP BY ALL), e AS (SELECT event_type, max(v) OVER (PARTITION BY event_type ORDER BY h RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) - v AS e1, max(v) OVER (PARTITION BY event_type ORDER BY h RANGE BETWEEN 24 PRECEDING AND 24 PRECEDING) - v AS e24 FROM h) SELECT event_type, {_naive('e1', 'previous')}, {_naive('e24', 'seasonal')} FROM e GROUP BY ALL")
+@_query(f"WITH h AS (SELECT event_type, CAST(epoch(date_trunc('hour', ts)) / 3600 AS BIGINT) AS h, sum(value) / count(value) AS v FROM events GROUP BY ALL), e AS (SELECT event_type, max(v) OVER (PARTITION BY event_type ORDER BY h RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) - v AS e1, max(v) OVER (PARTITION BY event_type ORDER BY h RANGE BETWEEN 24 PRECEDING AND 24 PRECEDING) - v AS e24 FROM h) SELECT event_type, {_naive('e1', 'previous')}, {_naive('e24', 'seasonal')} FROM e GROUP BY ALL", digits="mae_previous rmse_previous bias_previous mae_seasonal rmse_seasonal bias_seasonal")
 def naive_skill(t):
     return rp.naive_skill(ts.resample_mean(t("events"), ["event_type"], "ts", "value"), ["event_type"], "ts", "mean_value")
 
 
-@_query(f"SELECT *, row_number() OVER (ORDER BY share DESC, c_nationkey) AS rank FROM (SELECT c_nationkey, coalesce(CAST(sum({_D('o_totalprice')}) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE), 0) / CAST(sum({_D('o_totalprice')}) AS DOUBLE) AS share FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL)")
+@_query(f"SELECT *, row_number() OVER (ORDER BY share DESC, c_nationkey) AS rank FROM (SELECT c_nationkey, coalesce(CAST(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE), 0) / sum(o_totalprice) AS share FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY ALL)", digits="share")
 def renewable_share_rank(t):
     recent = t("orders").filter("o_orderdate >= timestamp_ntz '1998-01-01'").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     return rp.share_ranking(recent, ["c_nationkey"], F.col("o_orderstatus") == "F", "o_totalprice")

@@ -38,9 +38,8 @@ def collected(spark: SparkSession, stream: DataFrame, mode: str) -> DataFrame:
 
 
 def hourly_mean(stream: DataFrame, keys: list[str], ts_col: str, value_col: str, late: str = "7 days") -> DataFrame:
-    exact = F.col(value_col).cast("decimal(18,2)")
     windowed = stream.withWatermark(ts_col, late).groupBy(*keys, F.window(ts_col, "1 hour").alias("w"))
-    return windowed.agg((F.sum(exact).cast("double") / F.count(value_col)).alias("mean_value"), F.count("*").alias("n")).select(*keys, F.col("w.start").cast("timestamp_ntz").alias("ts"), "mean_value", "n")
+    return windowed.agg(F.avg(value_col).alias("mean_value"), F.count("*").alias("n")).select(*keys, F.col("w.start").cast("timestamp_ntz").alias("ts"), "mean_value", "n")
 
 
 def dedupe(stream: DataFrame, keys: list[str], ts_col: str, late: str = "7 days") -> DataFrame:
