@@ -71,7 +71,7 @@ def blank_unpublished_zeros(df: DataFrame, published: DataFrame, doc_col: str, s
 
 def unmapped_names(df: DataFrame, name_col: str, mapping: DataFrame) -> DataFrame:
     """Names that a map doesn't know, with their rows: they are reported, never lost in silence."""
-    return df.join(F.broadcast(mapping.select(name_col)), name_col, "left_anti").groupBy(name_col).agg(F.count("*").alias("n_rows"))
+    return df.join(mapping.select(name_col), name_col, "left_anti").groupBy(name_col).agg(F.count("*").alias("n_rows"))
 
 
 def drift(left: DataFrame, right: DataFrame, keys: list[str], sides: tuple[str, str] = ("left_only", "right_only")) -> DataFrame:

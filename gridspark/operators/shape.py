@@ -45,7 +45,7 @@ def convert_units(df: DataFrame, registry: dict[str, tuple[str, float, float]])
 
 def lookup(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value: str, out: str) -> DataFrame:
     """A value by a small map; what the map doesn't know passes through."""
-    small = F.broadcast(mapping.select(F.col(map_key).alias("k_"), F.col(map_value).alias("v_")))
+    small = mapping.select(F.col(map_key).alias("k_"), F.col(map_value).alias("v_"))
     return df.join(small, F.col(key) == F.col("k_"), "left").withColumn(out, F.coalesce("v_", key)).drop("k_", "v_")
 
 

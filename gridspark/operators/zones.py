@@ -21,7 +21,7 @@ def clean_coordinates(df: DataFrame, lat: str, lon: str, capacity: str) -> DataF
 
 def inside_box(df: DataFrame, boxes: DataFrame, key: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Points inside their key's inclusive box (lat_min, lat_max, lon_min, lon_max); a key without a box passes everything."""
-    joined = df.join(F.broadcast(boxes), key, "left")
+    joined = df.join(boxes, key, "left")
     inside = F.col(lat).between(F.col("lat_min"), F.col("lat_max")) & F.col(lon).between(F.col("lon_min"), F.col("lon_max"))
     return joined.filter(F.col("lat_min").isNull() | inside).drop("lat_min", "lat_max", "lon_min", "lon_max")
 
@@ -67,6 +67,12 @@ def cluster_labels(lat: np.ndarray, lon: np.ndarray, mw: np.ndarray, max_km: flo
     return best
 
 
+def with_zone_id(zones: DataFrame, keys: list[str], kind_col: str = "technology") -> DataFrame:
+    """``zone_id``: the kind and the zone's rank by capacity; a key's only zone covers the country."""
+    alone = F.count("*").over(Window.partitionBy(*keys)) == 1
+    return zones.withColumn("zone_id", F.concat_ws("_", kind_col, F.when(alone, "country").otherwise(F.col("rank_in_key").cast("string"))))
+
+
 def cluster_zones(plants: DataFrame, keys: list[str], id_col: str, lat: str, lon: str, mw: str, max_km: float = 150.0, min_mw: float = 50.0) -> DataFrame:
     """Zones per key: weighted centre, share of capacity, radius, rank; one key's plants are one group (a country's registry)."""
     fields = [*keys, id_col, lat, lon, mw]

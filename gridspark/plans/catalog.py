@@ -527,7 +527,7 @@ def top_k_orders(t):
 def border_expansion(t):
     nation = t("nation")
     edges = nation.alias("a").join(nation.alias("b"), (F.col("a.n_regionkey") == F.col("b.n_regionkey")) & (F.col("a.n_nationkey") != F.col("b.n_nationkey"))).select(F.col("a.n_nationkey").alias("s_nationkey"), F.col("b.n_name").alias("neighbour"))
-    return t("supplier").join(F.broadcast(edges), "s_nationkey").select("s_suppkey", "neighbour").distinct()
+    return t("supplier").join(edges, "s_nationkey").select("s_suppkey", "neighbour").distinct()
 
 
 # streams: each equals its batch twin
@@ -554,4 +554,4 @@ def stream_latest(spark, sf_dir):
     return jobs.collected(spark, jobs.latest(jobs.read_table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id", "value"]), "complete")
 
 
-from . import reports  # noqa: E402, F401  (adds its queries)
+from . import ingests, reports  # noqa: E402, F401  (they add their queries)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,19 @@ from ..operators.snapshots import insert_if_absent, upsert
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")).rstrip("/")
+    """The shared folder of ``spark.checkpoint.dir``. Where that is unset, a temporary one in local mode, and an error on a cluster."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (folder or "file://" + tempfile.mkdtemp(prefix="spark-")).rstrip("/")
+
+
+#: The partition of rows without an instant.
+_NO_MONTH = "none"
 
 
 def _months(df: DataFrame, ts_col: str) -> DataFrame:
-    return df.withColumn("month", F.date_format(ts_col, "yyyy-MM"))
+    return df.withColumn("month", F.coalesce(F.date_format(ts_col, "yyyy-MM"), F.lit(_NO_MONTH)))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -29,30 +37,94 @@ def write_months(df: DataFrame, path: str, ts_col: str) -> None:
     _months(df, ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
 
 
-def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], ts_col: str, order_cols: list[str], first_wins: bool = False) -> None:
-    """Upsert (or insert of what is absent) of a batch: only the months it touches are read and written."""
-    if not _exists(spark, path):
-        start = batch.limit(0)
-    else:
-        touched = _months(batch, ts_col).select("month").distinct()
-        start = spark.read.parquet(path).withColumn("month", F.col("month").cast("string")).join(F.broadcast(touched), "month", "left_semi").drop("month").select(*batch.columns)
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written beside the table, under a name of this run, and read back."""
+    staging = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex}"
+    df.write.parquet(staging)
+    return df.sparkSession.read.schema(df.schema).parquet(staging)
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    if not p(source).getFileSystem(spark._jsc.hadoopConfiguration()).rename(p(source), p(target)):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], ts_col: str, order_cols: list[str], first_wins: bool = False) -> int:
+    """Upsert (or insert of what is absent) of a batch; returns the batch's rows. Only the months that it touches are read and written.
+
+    If the instant is no part of the key, a key may have moved from another month, which then is touched too.
+    """
+    batch = _months(_staged(batch, path), ts_col)
+    start, months = batch.limit(0), []
+    if _exists(spark, path):
+        table = spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+        touched = batch.select("month")
+        if ts_col not in keys:
+            touched = touched.unionByName(table.join(batch.select(*keys), keys, "left_semi").select("month"))
+        months = [r["month"] for r in touched.distinct().collect()]  # a string for each month
+        start = table.filter(F.col("month").isin(months)).select(*batch.columns)
     merged = insert_if_absent(start, batch, keys, order_cols) if first_wins else upsert(start, batch, keys, order_cols)
-    staging = f"{path.rstrip('/')}_staging"
-    merged.write.mode("overwrite").parquet(staging)
-    write_months(spark.read.parquet(staging), path, ts_col)
+    staged = _staged(merged, path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    if ts_col not in keys:  # a month that has lost its last row isn't part of what is written
+        for month in set(months) - {r["month"] for r in staged.select("month").distinct().collect()}:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/month={month}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return batch.count()
 
 
 def refresh(spark: SparkSession, source: DataFrame, path: str) -> int:
-    """Full copy, checked by row counts before it takes the table's place."""
-    staging = f"{path.rstrip('/')}_staging"
-    source.write.mode("overwrite").parquet(staging)
+    """Full copy, checked by row counts before it takes the table's place by renaming; the former table stays beside it until then."""
+    path, run = path.rstrip("/"), uuid.uuid4().hex
+    staging, former = f"{path}_staging-{run}", f"{path}_former-{run}"
+    source.write.parquet(staging)
     n, copied = source.count(), spark.read.parquet(staging).count()
     if n != copied:
         raise RuntimeError(f"copied {copied} of {n} rows; {path} is unchanged")
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    if _exists(spark, path):
+        _moved(spark, path, former)
+    _moved(spark, staging, path)
     return n
 
 
+def pull(spark: SparkSession, source: DataFrame, path: str, keys: list[str], seq_col: str, most: int = 1_000_000) -> int:
+    """Incremental pull: rows beyond the copy's greatest ``seq_col``, in ranges of at most ``most`` numbers; known keys are left out."""
+    pulled = 0
+    bounds = source.agg(F.min(seq_col).alias("a"), F.max(seq_col).alias("b")).first()
+    if bounds["a"] is None:
+        return 0
+    mark = spark.read.parquet(path).agg(F.max(seq_col).alias("m")).first()["m"] if _exists(spark, path) else None
+    low = bounds["a"] if mark is None else mark + 1
+    while low <= bounds["b"]:
+        part = source.filter(F.col(seq_col).between(low, low + most - 1)).dropDuplicates(keys)
+        if _exists(spark, path):
+            part = part.join(spark.read.parquet(path).select(*keys), keys, "left_anti").select(*source.columns)
+        part = _staged(part, path)
+        part.write.mode("append").parquet(path)
+        pulled += part.count()
+        low += most
+    return pulled
+
+
+def seed(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> int:
+    """Dimension rows by natural key, added once however often it runs; returns how many are new."""
+    new = rows.dropDuplicates(keys)
+    if _exists(spark, path):
+        new = new.join(spark.read.parquet(path).select(*keys), keys, "left_anti").select(*rows.columns)
+    new = _staged(new, path)
+    new.write.mode("append").parquet(path)
+    return new.count()
+
+
+def latest_log_rows(spark: SparkSession, path: str, n: int = 20) -> DataFrame:
+    """The last state of each run, the newest first: at one instant an end comes after its start."""
+    from ..operators.completeness import latest_per_key
+
+    log = spark.read.parquet(path)
+    return latest_per_key(log, ["log_id"], [F.desc("at"), (F.col("status") == "running").cast("int")]).orderBy(F.desc("at"), F.desc("log_id")).limit(n)
+
+
 def log_row(spark: SparkSession, path: str, log_id: str, kind: str, at: str, inserted: int = 0, failed: int = 0, error: str | None = None, done: bool = False) -> None:
     """Ingestion log: a row at the start and one at the end; failed if and only if there is an error message."""
     status = "failed" if error else "completed" if done else "running"

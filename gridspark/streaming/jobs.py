@@ -56,6 +56,37 @@ def latest(stream: DataFrame, keys: list[str], known_col: str, values: list[str]
     return stream.groupBy(*keys).agg(F.max_by(F.struct(known_col, *values), F.struct(known_col, *values)).alias("v")).select(*keys, F.col(f"v.{known_col}").cast("timestamp_ntz").alias(known_col), *(f"v.{c}" for c in values))
 
 
+def late_rows(spark: SparkSession, stream: DataFrame, age, edges: tuple[int, ...]) -> DataFrame:
+    """Audit of how old rows are when they come: (batch, band, n), counted in each micro-batch."""
+    band = F.when(age < edges[0], f"<{edges[0]}")
+    for e in edges[1:]:
+        band = band.when(age < e, f"<{e}")
+    banded = stream.select(band.otherwise(f">={edges[-1]}").alias("band"))
+    folder = f"{scratch_folder(spark)}/late-{uuid.uuid4().hex}"
+
+    def count(df: DataFrame, batch: int) -> None:
+        df.groupBy("band").agg(F.count("*").alias("n")).withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{folder}/rows/batch_no={batch}")
+
+    banded.writeStream.foreachBatch(count).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("band string, n long, batch int").parquet(f"{folder}/rows")
+
+
+def enriched(stream: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Facts of a stream with the columns of a static dimension."""
+    return stream.join(dimension, key)
+
+
+def replicate(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
+    """Incremental pull: what came since the checkpoint is appended, known keys left out."""
+
+    def add(df: DataFrame, batch: int) -> None:
+        from ..sources.sinks import seed
+
+        seed(df.sparkSession, df, path, keys)
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def upserts(stream: DataFrame, path: str, keys: list[str], ts_col: str, order_cols: list[str], checkpoint: str):
     """Last writer wins for each micro-batch."""
     from ..sources.sinks import merge_into
