@@ -4,8 +4,8 @@ Two sets of sizes a and b reach a Jaccard similarity t only if they share T = ce
 lists of a document's shingles are ordered alike in the whole table, frequent ones last (the long lists). A partner must
 occur in at least one of a document's a - ceil(t * a) + 1 shortest lists, so only those are shuffled to find who has to be
 searched for whom; a meeting in a list also tells how many shingles the two can still share from there on, and those that
-cannot reach T by that never become a pair. Nor do those whose parity bits (each shingle flips one of a fixed number of
-bits) differ in more places than two sets that share T could.
+cannot reach T by that never become a pair. Nor do those whose parity bits (each shingle flips one of a number of bits)
+differ in more places than two sets that share T could: first a fixed number of bits, then about two for each shingle.
 
 The documents that a document has to be searched in then meet in one place, in parts of bounded size, and DivideSkip runs
 there: the T - 1 longest of the query's lists over these documents are set aside, the short ones are heap-merged with
@@ -40,13 +40,13 @@ from .text import BLANK, BLANK_LOWER, gram_hashes, joined, slices
 
 _PART_BYTES = 2 << 20
 #: Bytes of text for a bucket of postings.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: A shingle counts as frequent from so many documents in one task and in all, and so many frequent ones are ordered by count.
 TASK_COUNT, TOTAL_COUNT, FREQUENT = 8, 48, 200_000
 #: Rows of 16 bytes up to which a table of ids is broadcast to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 500_000
-#: Parity bits of a set.
-PARITY_BITS = 2048
+#: Parity bits of a set, and the most of its finer ones.
+PARITY_BITS, MOST_BITS = 2048, 1 << 17
 _NULL_ID = (1 << 63) - 1  # after every other id
 
 
@@ -84,30 +84,42 @@ def _digest(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def _parity(grams: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
-    """Each set's parity bits, 64 in a number: sets differ in at least as many shingles as their bits differ."""
-    bit = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PARITY_BITS.bit_length() + 1)
-    flips = np.bincount(np.repeat(np.arange(len(sizes)), sizes) * PARITY_BITS + bit.astype(np.int64), minlength=len(sizes) * PARITY_BITS)
-    return pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * (PARITY_BITS // 64), np.packbits((flips & 1).astype(np.uint8)).view(np.int64))
+def _parity(grams: np.ndarray, sizes: np.ndarray, widths: np.ndarray) -> pa.ListArray:
+    """Each set's parity bits, 64 in a number: sets differ in at least as many shingles as their bits differ.
+
+    A set has ``widths`` bits, a power of two from 64; its halves folded by exclusive or are its bits at half the width.
+    """
+    start = np.cumsum(widths) - widths
+    place = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    bit = start.repeat(sizes) + (place.astype(np.int64) & (widths.repeat(sizes) - 1))
+    flips = np.zeros(int(widths.sum()), np.uint8)
+    found, times = np.unique(bit, return_counts=True)
+    flips[found] = times & 1
+    return pa.ListArray.from_arrays(np.append(start, len(flips)).astype(np.int32) // 64, np.packbits(flips).view(np.int64))
+
+
+def _widths(sizes: np.ndarray) -> np.ndarray:
+    """Two to four bits for each shingle."""
+    return np.minimum(1 << np.ceil(np.log2(np.maximum(2 * sizes, 64))).astype(np.int64), MOST_BITS)
 
 
 def _summaries(rows: DataFrame, n: int, table: bytes) -> DataFrame:
     """kind 0: (doc_id, size, digest, parity bits) of each row; kind 1: (shingle, count) of what is frequent in a task, copies counted once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, total, seen = ["kind", "key", "n", "s1", "s2", "bits"], Counter(), set()
+        names, total, seen = ["kind", "key", "n", "s1", "s2", "bits", "fine"], Counter(), set()
         for part in slices(batches, "text", _PART_BYTES):
             grams, sizes = shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), n, table)
             s1, s2 = _digest(grams, sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(s1), pa.array(s2), _parity(grams, sizes)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sizes), np.int32)), part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(s1), pa.array(s2), _parity(grams, sizes, np.full(len(sizes), PARITY_BITS)), _parity(grams, sizes, _widths(sizes))], names)
             new = np.asarray([x not in seen and not seen.add(x) for x in s1.tolist()], bool)
             found, times = np.unique(grams[np.repeat(new, sizes)], return_counts=True)
             total.update(dict(zip(found[times > 1].tolist(), times[times > 1].tolist(), strict=True)))
         often = [(g, c) for g, c in total.items() if c >= TASK_COUNT]
         zero = pa.array(np.zeros(len(often), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(often), np.int32)), pa.array(np.asarray([g for g, _ in often], np.uint64).view(np.int64)), pa.array(np.asarray([c for _, c in often], np.int64)), zero, zero, pa.nulls(len(often), pa.list_(pa.int64()))], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(often), np.int32)), pa.array(np.asarray([g for g, _ in often], np.uint64).view(np.int64)), pa.array(np.asarray([c for _, c in often], np.int64)), zero, zero, *[pa.nulls(len(often), pa.list_(pa.int64()))] * 2], names)
 
-    return rows.mapInArrow(run, "kind int, key long, n long, s1 long, s2 long, bits array<long>")
+    return rows.mapInArrow(run, "kind int, key long, n long, s1 long, s2 long, bits array<long>, fine array<long>")
 
 
 def _prefix(a: np.ndarray, t: Fraction) -> np.ndarray:
@@ -274,23 +286,29 @@ def _across(lists: DataFrame, found: DataFrame, t: Fraction) -> DataFrame:
     few = found.count() <= BROADCAST_ROWS
     of = lambda key, name: F.broadcast(found.select(F.col("doc_id").alias(key), F.col("component").alias(name))) if few else found.select(F.col("doc_id").alias(key), F.col("component").alias(name))
     far = F.floor(((F.col("n") - F.col("i")) * (t.numerator + t.denominator) - F.col("n") * t.numerator) / t.numerator)
-    band = lambda size: F.floor(F.log(size) * 10).cast("int")  # noqa: E731  a tenth wide
+    band = lambda size: F.floor(F.log(size) * 4).cast("int")  # noqa: E731  about a quarter wide
     placed = lists.join(of("doc_id", "own"), "doc_id", "left").join(of("hub", "hubs"), "hub", "left")
-    placed = placed.select("place", "doc_id", "n", F.coalesce("own", "doc_id").alias("c"), (F.coalesce("own", "doc_id") == F.coalesce("hubs", "hub")).alias("is_major"), far.alias("far"))
+    is_major = F.coalesce(F.col("own") == F.col("hubs"), F.lit(False))  # of the hub's component, if it has one
+    placed = placed.select("place", "doc_id", "n", F.col("own").alias("c"), is_major.alias("is_major"), F.col("hubs").isNotNull().alias("has_major"), far.alias("far"))
     asks = placed.filter("far >= n").select("place", F.explode(F.sequence(band(F.col("n")), band(F.col("far")))).alias("band"), F.col("is_major").alias("for_major"), F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("c").alias("c_x"), F.col("far").alias("far_x"))
-    sought = F.when(F.col("is_major"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    sought = F.when(F.col("has_major") & ~F.col("is_major"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     holds = placed.select("place", band(F.col("n")).alias("band"), F.explode(sought).alias("for_major"), F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("c").alias("c_y"), F.col("far").alias("far_y"))
-    met = asks.join(holds, ["place", "band", "for_major"]).filter("c_x != c_y and n_y between n_x and far_x and n_x <= far_y and (n_x < n_y or x < y)")
+    met = asks.join(holds, ["place", "band", "for_major"]).filter("coalesce(c_x != c_y, true) and x != y and n_y between n_x and far_x and n_x <= far_y and (n_x < n_y or x < y)")
     return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def _close(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs whose parity bits allow for the overlap they need."""
-    pairs = stored(pairs, "met")
-    few = pairs.count() <= BROADCAST_ROWS
-    own = lambda v: sets.select(F.col("doc_id").alias(v), F.col("n").alias(f"n_{v}"), F.col("bits").alias(f"bits_{v}")).join(F.broadcast(pairs) if few else pairs, v)
-    differ = F.aggregate(F.zip_with("bits_x", "bits_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, k: total + k)
-    return own("x").join(own("y"), ["x", "y"]).filter(F.col("n_x") + F.col("n_y") - differ >= 2 * _need(t)).select("x", "y").distinct()
+    """The pairs whose parity bits allow for the overlap they need, by few bits and then by more."""
+    half = lambda c, k: F.slice(c, (F.size(c) / 2 * k + 1).cast("int"), (F.size(c) / 2).cast("int"))
+    fold = lambda c, other: F.when(F.size(c) > F.size(other), F.zip_with(half(c, 0), half(c, 1), lambda a, b: a.bitwiseXOR(b))).otherwise(F.col(c))
+    for bits in ("bits", "fine"):
+        pairs = stored(pairs, "met")
+        few = pairs.count() <= BROADCAST_ROWS
+        own = lambda v: sets.select(F.col("doc_id").alias(v), F.col("n").alias(f"n_{v}"), F.col(bits).alias(f"bits_{v}")).join(F.broadcast(pairs) if few else pairs, v)  # noqa: B023, E731
+        both = own("x").join(own("y"), ["x", "y"])  # widths differ by one fold at most, as sizes differ by less than half
+        differ = F.aggregate(F.zip_with(fold("bits_x", "bits_y"), fold("bits_y", "bits_x"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, k: total + k)
+        pairs = both.filter(F.col("n_x") + F.col("n_y") - differ >= 2 * _need(t)).select("x", "y").distinct()
+    return pairs
 
 
 def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
@@ -299,7 +317,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     rows = _rows(docs, id_col, text_col)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()["b"]
     summaries = stored(_summaries(rows, n, table), "sets")
-    sets = summaries.filter("kind = 0").select(F.col("key").alias("doc_id"), "n", "s1", "s2", "bits")
+    sets = summaries.filter("kind = 0").select(F.col("key").alias("doc_id"), "n", "s1", "s2", "bits", "fine")
     top = summaries.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("c")).filter(F.col("c") >= TOTAL_COUNT).orderBy(F.desc("c"), "key").limit(FREQUENT)
     frequent = np.asarray([r["key"] for r in top.collect()][::-1], np.int64).view(np.uint64)  # at most FREQUENT numbers
 
@@ -326,7 +344,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
 
     label = classes.join(final.withColumnRenamed("doc_id", "rep"), "rep", "left").join(degree, "rep", "left")
     label = label.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    member = sets.drop("bits").join(label, ["n", "s1", "s2"], "left")
+    member = sets.drop("bits", "fine").join(label, ["n", "s1", "s2"], "left")
     null_free = lambda c: F.when(F.col(c) == _NULL_ID, None).otherwise(F.col(c))
     return member.select(null_free("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), null_free("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")).withColumn("component_id", F.coalesce("component_id", "doc_id"))
 
