@@ -426,7 +426,10 @@ def step_detector(t):
     return rv.step_detector(_aged(t), ["l_returnflag"], "l_extendedprice", "l_quantity", _age() / 30)
 
 
-@_query(f"SELECT split, count(*) AS n, count(*) FILTER (WHERE d < 0) AS n_before, count(*) FILTER (WHERE d >= 0) AS n_after, CAST(sum(value) FILTER (WHERE d < 0) AS DOUBLE) / count(*) FILTER (WHERE d < 0) AS before, CAST(sum(value) FILTER (WHERE d >= 0) AS DOUBLE) / count(*) FILTER (WHERE d >= 0) AS after, (CAST(sum(value) FILTER (WHERE d >= 0) AS DOUBLE) / count(*) FILTER (WHERE d >= 0)) / (CAST(sum(value) FILTER (WHERE d < 0) AS DOUBLE) / count(*) FILTER (WHERE d < 0)) AS effect FROM (SELECT value, split, (epoch_us(ts) - epoch_us(split)) / 86400000000::DOUBLE AS d FROM events, (SELECT unnest([TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-11', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-18', TIMESTAMP '2024-01-22']) AS split)) WHERE d >= -5 AND d < 5 GROUP BY split", digits="before after effect")
+_PLACEBOS = f"SELECT split, count(*) AS n, count(*) FILTER (WHERE d < 0) AS n_before, count(*) FILTER (WHERE d >= 0) AS n_after, CAST(sum(value) FILTER (WHERE d < 0) AS DOUBLE) / count(*) FILTER (WHERE d < 0) AS before, CAST(sum(value) FILTER (WHERE d >= 0) AS DOUBLE) / count(*) FILTER (WHERE d >= 0) AS after, (CAST(sum(value) FILTER (WHERE d >= 0) AS DOUBLE) / count(*) FILTER (WHERE d >= 0)) / (CAST(sum(value) FILTER (WHERE d < 0) AS DOUBLE) / count(*) FILTER (WHERE d < 0)) AS effect FROM (SELECT value, split, (epoch_us(ts) - epoch_us(split)) / 86400000000::DOUBLE AS d FROM events, (SELECT unnest([TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-11', TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-18', TIMESTAMP '2024-01-22']) AS split)) WHERE d >= -5 AND d < 5 GROUP BY split"
+
+
+@_query(_PLACEBOS, digits="before after effect")
 def placebo_splits(t):
     return rv.split_effects(t("events"), "ts", "value", [f"2024-01-{d} 00:00:00" for d in ("08", "11", "15", "18", "22")], 5)
 

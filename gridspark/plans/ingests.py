@@ -17,7 +17,7 @@ from ..operators import revision as rv
 from ..operators import timeseries as ts
 from ..sources import sinks
 from ..streaming import jobs
-from .catalog import _PLACED, _SQL, _placed, _query
+from .catalog import _PLACEBOS, _PLACED, _SQL, _placed, _query
 
 #: Production types that events of each type stand for; the last has no column.
 CODES = {"view": "B16", "click": "B19", "purchase": "B10", "error": "B14", "signup": "B99"}
@@ -215,7 +215,7 @@ def minimum_detectable_effect(t):
     return rv.minimum_detectable_effect(rv.two_samples(t("events"), F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), "value"))
 
 
-@_query("SELECT max(CASE WHEN split = TIMESTAMP '2024-01-15' THEN shift END) AS real_shift, max(CASE WHEN split <> TIMESTAMP '2024-01-15' THEN shift END) AS worst_placebo, count(*) FILTER (WHERE split <> TIMESTAMP '2024-01-15') AS placebos, max(CASE WHEN split = TIMESTAMP '2024-01-15' THEN shift END) > 3 * max(CASE WHEN split <> TIMESTAMP '2024-01-15' THEN shift END) AS is_effect FROM (SELECT split, abs(effect - 1) AS shift FROM (" + _SQL["placebo_splits"] + ") WHERE n_before >= 1000 AND n_after >= 1000 AND split - INTERVAL 5 DAY >= TIMESTAMP '2024-01-04' AND split + INTERVAL 5 DAY <= TIMESTAMP '2024-01-24')", digits="real_shift worst_placebo")
+@_query("SELECT max(CASE WHEN split = TIMESTAMP '2024-01-15' THEN shift END) AS real_shift, max(CASE WHEN split <> TIMESTAMP '2024-01-15' THEN shift END) AS worst_placebo, count(*) FILTER (WHERE split <> TIMESTAMP '2024-01-15') AS placebos, max(CASE WHEN split = TIMESTAMP '2024-01-15' THEN shift END) > 3 * max(CASE WHEN split <> TIMESTAMP '2024-01-15' THEN shift END) AS is_effect FROM (SELECT split, abs(effect - 1) AS shift FROM (" + _PLACEBOS + ") WHERE n_before >= 1000 AND n_after >= 1000 AND split - INTERVAL 5 DAY >= TIMESTAMP '2024-01-04' AND split + INTERVAL 5 DAY <= TIMESTAMP '2024-01-24')", digits="real_shift worst_placebo")
 def placebo_verdict(t):
     splits = [f"2024-01-{d} 00:00:00" for d in ("08", "11", "15", "18", "22")]
     effects = rv.split_effects(t("events"), "ts", "value", splits, 5, ("2024-01-04", "2024-01-24"))
