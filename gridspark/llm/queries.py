@@ -1,4 +1,4 @@
-"""The queries op1 to op10: each operator over its whole table, with the production parameters, and SQL where it can say it."""
+"""The queries op1 to op13: each operator over its whole table, with the production parameters, and SQL where it can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, fingerprints, html_extract, jaccard_join, language_id, license_scan, packing, sharding, substring_dedup, token_counts
+from . import decontamination, fingerprints, html_extract, jaccard_join, language_id, license_scan, packing, sharding, spelling, substring_dedup, suffix_dedup, token_counts, whitening
 from .storage import shared_folder, stored
 
 
@@ -61,8 +61,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_suffixes(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_benchmark_decontamination, op2_document_fingerprints, op3_token_counts, op4_substring_dedup, op5_ngram_jaccard_join, op6_sharding, op7_best_fit_packing, op8_language_id, op9_html_extraction, op10_license_scan)
+    every = (op1_benchmark_decontamination, op2_document_fingerprints, op3_token_counts, op4_substring_dedup, op5_ngram_jaccard_join, op6_sharding, op7_best_fit_packing, op8_language_id, op9_html_extraction, op10_license_scan, op11_spelling_variants, op12_embedding_whitening, op13_suffix_dedup)
     return {f.__name__: f for f in every}
 
 
@@ -105,6 +118,38 @@ e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
 
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id FROM d JOIN r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY ALL""",
+    "op11_spelling_variants": f"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce([k] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS t FROM (SELECT unnest(range(256)) AS k)),
+r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, ' ')")}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM r GROUP BY doc_id, w),
+h AS (SELECT w, n, xor(list_reduce([4294967295] || list_transform(range(1, len(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT)), lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) AS h FROM c, crc),
+v AS (SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word, n FROM h),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+s AS (SELECT word, i, left(word, i) AS a, substr(word, i + 2) AS b FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT x.word AS word, y.word AS other FROM s x JOIN s y USING (i, a, b) WHERE x.word <> y.word
+  UNION SELECT s.word, w.word FROM s JOIN words w ON w.word = a || b
+  UNION SELECT w.word, s.word FROM s JOIN words w ON w.word = a || b),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, {{'n': -o.n, 'w': encode(other)}}) AS other, max(o.n) AS m
+  FROM near JOIN words o ON o.word = other GROUP BY near.word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+roots AS (SELECT word, word AS tip FROM forms UNION ALL SELECT roots.word, form FROM roots JOIN forms ON forms.word = tip WHERE form IS NOT NULL)
+SELECT f.word, f.form, tip AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN roots ON roots.word = f.word JOIN forms e ON e.word = tip AND e.form IS NULL""",
+    "op13_suffix_dedup": """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, md5(b[i:i + 199]) AS g FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d WHERE octet_length(b) >= 200)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1),
+cut AS (SELECT doc_id, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, true) AS fresh FROM dup)),
+spans AS (SELECT doc_id, k, min(i) AS s, max(i) + 199 AS e FROM cut GROUP BY doc_id, k),
+gaps AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) + 1 AS f, s - 1 AS t FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(e), 0) + 1, octet_length(any_value(b)) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(hex(b[f:t]), '' ORDER BY f) AS x FROM gaps JOIN d USING (doc_id) WHERE f <= t GROUP BY doc_id),
+n AS (SELECT doc_id, sum(e - s + 1) AS removed, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(x, ''))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
 
 

@@ -69,7 +69,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
         steps = np.full(max(n, _SEGMENT + 1), base, np.uint64)
@@ -94,8 +94,8 @@ def word_hashes(text: bytes) -> np.ndarray:
         step = np.diff(inside)
         first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(int(_BASE), len(data)), out=sums[1:])
-        out.append(mix((sums[last] - sums[first]) * _power(inverse, len(data) + 1)[first] + (last - first).astype(np.uint64)))
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power(int(_BASE), len(data)), out=sums[1:])
+        out.append(mix((sums[last] - sums[first]) * power(inverse, len(data) + 1)[first] + (last - first).astype(np.uint64)))
         at = end + 1
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
