@@ -16,10 +16,12 @@ id and the one with the least share of rarer shingles), the links found are clos
 different components are searched for each other, which a list that lies in one component has none of. Exact copies are
 one class from the start.
 
+Rows are the vertices: ids serve as their names where none is null or occurs twice, and else rows are numbered first.
+
 Defined cases: a null text and a text without words have an empty set and are linked with nothing; a text of fewer words
-than a shingle has its whole sequence as its one shingle; rows that share an id are one document if their sets are equal,
-and one class each otherwise; rows with a null id link others, but a component's id is the smallest id that is not null;
-columns other than the named ones are ignored.
+than a shingle has its whole sequence as its one shingle; rows that share an id or have none are judged each by its own text,
+so they link nothing but what their texts do; a component's id is the smallest id in it that is not null, null if it has
+none; columns other than the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -47,7 +49,6 @@ TASK_COUNT, TOTAL_COUNT, FREQUENT = 8, 48, 200_000
 BROADCAST_ROWS = 500_000
 #: Parity bits of a set, and the most of its finer ones.
 PARITY_BITS, MOST_BITS = 2048, 1 << 17
-_NULL_ID = (1 << 63) - 1  # after every other id
 
 
 def shingle_sets(texts: list[bytes | None], n: int, table: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +70,7 @@ def shingle_sets(texts: list[bytes | None], n: int, table: bytes) -> tuple[np.nd
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return light_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    return light_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def _digest(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,8 +312,25 @@ def _close(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     return pairs
 
 
+def _named(docs: DataFrame, id_col: str) -> bool:
+    """Whether every row has an id of its own."""
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.count("*").alias("n"))
+    return ids.filter("id is null or n > 1").isEmpty()
+
+
 def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text", lower: bool = True) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, n_links), one per row of ``docs``; n_links counts the links of its class that were looked at, as the closure needs them."""
+    if _named(docs, id_col):
+        return _classes(docs, n, similarity, id_col, text_col, lower)
+    own = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = stored(own, "numbered")
+    found = stored(_classes(rows, n, similarity, "row", "text", lower).withColumnRenamed("doc_id", "row").join(rows.select("row", "id"), "row"), "classes")
+    least = found.groupBy("component_id").agg(F.min("id").alias("least"), F.count("*").alias("m")).filter("m > 1 or least is not null").select("component_id", "least")
+    return found.join(least, "component_id", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), "n_links")
+
+
+def _classes(docs: DataFrame, n: int, similarity: str, id_col: str, text_col: str, lower: bool = True) -> DataFrame:
+    """``similarity_classes`` for rows with ids of their own."""
     t, table = Fraction(similarity), BLANK_LOWER if lower else BLANK
     rows = _rows(docs, id_col, text_col)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("b")).first()["b"]
@@ -345,8 +363,7 @@ def similarity_classes(docs: DataFrame, n: int = 4, similarity: str = "0.85", id
     label = classes.join(final.withColumnRenamed("doc_id", "rep"), "rep", "left").join(degree, "rep", "left")
     label = label.select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     member = sets.drop("bits", "fine").join(label, ["n", "s1", "s2"], "left")
-    null_free = lambda c: F.when(F.col(c) == _NULL_ID, None).otherwise(F.col(c))
-    return member.select(null_free("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), null_free("component").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")).withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return member.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def first_of_groups(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -356,7 +373,7 @@ def first_of_groups(docs: DataFrame, n: int = 4, similarity: str = "0.85", id_co
     """
     row = unused(docs.columns, "row")
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    classes = similarity_classes(rows.select(row, F.col(text_col).alias("text")), n, similarity, row).select(F.col("doc_id").alias("row_"), "n_shingles", "component_id")
+    classes = _classes(rows.select(row, F.col(text_col).alias("text")), n, similarity, row, "text").select(F.col("doc_id").alias("row_"), "n_shingles", "component_id")
     known = rows.select(F.col(row).alias("row_"), F.col(id_col).alias("id_"), F.md5(F.col(text_col).cast("binary")).alias("text_"))
     of = F.when(F.col("n_shingles") > 0, F.struct(F.col("component_id").alias("c"), F.lit(None).cast(docs.schema[id_col].dataType).alias("id"), F.lit(None).cast("string").alias("t")))
     of = of.otherwise(F.struct(F.lit(None).cast("long").alias("c"), F.col("id_").alias("id"), F.col("text_").alias("t")))
