@@ -73,17 +73,41 @@ RENEWABLE_COLUMNS = {
 #: Columns of the wind and solar forecast.
 FORECAST_COLUMNS = {"Solar": "solar_mw", "Wind Onshore": "wind_onshore_mw", "Wind Offshore": "wind_offshore_mw"}
 
-#: Countries of bidding zones, as "country: zones".
-_ZONES = {
-    "DE": "DE_AT_LU DE_LU",
-    "IT": "IT_NORD IT_CNOR IT_CSUD IT_SUD IT_SARD IT_SICI IT_NORD_AT IT_NORD_FR IT_NORD_SI IT_NORD_CH IT_BRNN IT_FOGN IT_GR IT_PRGP IT_ROSN IT_CALA",
-    "DK": "DK_1 DK_2",
-    "SE": "SE_1 SE_2 SE_3 SE_4",
-    "NO": "NO_1 NO_2 NO_3 NO_4 NO_5",
-    "GB": "GB GB_NIR",
-    "IE": "IE_SEM",
+#: Countries of bidding zones.
+ZONE_TO_COUNTRY = {
+    "DE_AT_LU": "DE",
+    "DE_LU": "DE",
+    "IT_NORD": "IT",
+    "IT_CNOR": "IT",
+    "IT_CSUD": "IT",
+    "IT_SUD": "IT",
+    "IT_SARD": "IT",
+    "IT_SICI": "IT",
+    "IT_NORD_AT": "IT",
+    "IT_NORD_FR": "IT",
+    "IT_NORD_SI": "IT",
+    "IT_NORD_CH": "IT",
+    "IT_BRNN": "IT",
+    "IT_FOGN": "IT",
+    "IT_GR": "IT",
+    "IT_PRGP": "IT",
+    "IT_ROSN": "IT",
+    "IT_CALA": "IT",
+    "DK_1": "DK",
+    "DK_2": "DK",
+    "SE_1": "SE",
+    "SE_2": "SE",
+    "SE_3": "SE",
+    "SE_4": "SE",
+    "NO_1": "NO",
+    "NO_2": "NO",
+    "NO_3": "NO",
+    "NO_4": "NO",
+    "NO_5": "NO",
+    "GB": "GB",
+    "GB_NIR": "GB",
+    "IE_SEM": "IE",
 }
-ZONE_TO_COUNTRY = {zone: country for country, zones in _ZONES.items() for zone in zones.split()}
 
 #: The zone that is asked for a country, by purpose.
 ZONES_BY_PURPOSE = {
@@ -125,6 +149,12 @@ WEATHER_COLUMNS = {
     "rain": "rain_mm",
     "snowfall": "snowfall_mm",
 }
+#: Columns that only a single place is asked for, and all variables that it is asked for.
+POINT_ONLY_COLUMNS = {"wind_direction_100m": "wind_direction_100m_deg", "wind_speed_80m": "wind_speed_80m_ms", "wind_speed_120m": "wind_speed_120m_ms"}
+POINT_VARIABLES = [
+    "temperature_2m", "dew_point_2m", "relative_humidity_2m", "pressure_msl", "wind_speed_10m", "wind_gusts_10m", "wind_direction_10m", "wind_speed_100m", "wind_direction_100m",
+    "wind_speed_80m", "wind_speed_120m", "precipitation", "rain", "snowfall", "shortwave_radiation", "direct_radiation", "direct_normal_irradiance", "diffuse_radiation",
+]
 #: Inclusive boxes of regional weather models, as (lat_min, lat_max, lon_min, lon_max); other models are global.
 MODEL_BOXES = {"knmi_harmonie_arome_europe": (42.0, 65.0, -12.0, 22.0), "meteofrance_arome_france": (38.0, 56.0, -10.0, 13.0)}
 
@@ -157,3 +187,9 @@ def weather_units(kelvin: bool = False) -> dict[str, tuple[str, float, float]]:
         warm = kelvin and column.endswith("_c")
         out[variable] = (column[:-2] + "_k" if warm else column, 0.01 if column.endswith("_frac") else 1.0, 273.15 if warm else 0.0)
     return out
+
+
+def point_units() -> dict[str, tuple[str, float, float]]:
+    """{variable: (column, scale, offset)} of what a single place is asked for, temperatures in kelvin."""
+    known = weather_units(kelvin=True) | {v: (c, 1.0, 0.0) for v, c in POINT_ONLY_COLUMNS.items()}
+    return {v: known[v] for v in POINT_VARIABLES}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,7 +86,9 @@ def revision_study(df: DataFrame, keys: list[str], target_col: str, clock_col: s
     """The study by modes, each a report by its name; ``value`` over ``reference`` is screened, over ``other`` confirmed.
 
     exposure: rows younger than the horizon; sweep: effects of age; confirm: effects that the other reference shows too;
-    boundary: where the ratio steps; spot: the latest write session with targets on both sides, and the profile by age.
+    boundary: where the ratio steps, with ``boundary_profile``, the ratio by age; spot: write sessions with targets on both
+    sides of the horizon, the newest first, and of the newest one ``spot_effects`` (the ratio's shift where the horizon lies,
+    and its placebos), ``spot_verdict``, ``spot_samples`` and ``spot_detectable`` (see ``spot_check``).
     """
     unknown = sorted(set(modes) - set(MODES))
     if unknown:
@@ -94,8 +98,37 @@ def revision_study(df: DataFrame, keys: list[str], target_col: str, clock_col: s
     reports = {
         "exposure": lambda: rv.exposure(df, keys, age, target_col, horizon),
         "sweep": lambda: effect(reference),
-        "confirm": lambda: rv.verdicts(effect(reference), effect(other), keys, tolerance),
-        "boundary": lambda: rv.step_detector(df, keys, value, reference, age, **steps),
-        "spot": lambda: rv.write_sessions(df, clock_col, age, horizon, min_rows),
+        "confirm": lambda: rv.confirmed_effects(df, keys, value, reference, other, age, horizon, min_rows, tolerance),
+        "boundary": lambda: {"boundary": rv.step_detector(df, keys, value, reference, age, **steps), "boundary_profile": rv.age_profile(df, value, reference, age)},
+        "spot": lambda: spot_check(df, target_col, clock_col, value, reference, horizon, min_rows),
     }
-    return {mode: reports[mode]() for mode in modes}
+    found: dict[str, DataFrame] = {}
+    for mode in modes:
+        report = reports[mode]()
+        found |= report if isinstance(report, dict) else {mode: report}
+    return found
+
+
+#: Days from the real split to its placebos; all lie in the older band, as the younger one is too short for a window.
+PLACEBO_DAYS = (-30, -50, -70, -90, -110)
+
+
+def spot_check(df: DataFrame, target_col: str, clock_col: str, value: str, reference: str, horizon: float, min_rows: int = 200, days: int = 20, least: int = 1000) -> dict[str, DataFrame]:
+    """Whether the newest session that wrote targets on both sides of the horizon shows a step there.
+
+    Rows of that session alone are compared: the ratio of ``value`` to ``reference`` in ``days`` days before and after the
+    split, against placebo splits whose windows lie wholly before it, and the two samples of ``value`` by themselves with the
+    smallest shift that they could show. Without such a session there are only the (no) sessions.
+    """
+    sessions = rv.write_sessions(df, clock_col, rv.age_days(clock_col, target_col), horizon, min_rows)
+    newest = sessions.first()
+    if newest is None:
+        return {"spot": sessions}
+    split = dt.datetime.combine(newest["session"], dt.time()) - dt.timedelta(days=horizon)
+    rows = df.filter((F.to_date(clock_col) == F.lit(newest["session"])) & F.col(value).isNotNull())
+    paired = rows.filter(F.col(reference).isNotNull())
+    at = lambda offset: str(split + dt.timedelta(days=offset))
+    effects = rv.split_effects(paired, target_col, value, [at(0), *(at(k) for k in PLACEBO_DAYS if k + days <= 0)], days, per_col=reference)
+    near = F.abs((ts.seconds(target_col) - ts.seconds(F.lit(at(0)).cast("timestamp_ntz"))) / 86_400) <= days
+    samples = rv.two_samples(rows.filter(near), F.col(target_col) >= F.lit(at(0)).cast("timestamp_ntz"), value)
+    return {"spot": sessions, "spot_effects": effects, "spot_verdict": rv.placebo_verdict(effects, at(0), least), "spot_samples": samples, "spot_detectable": rv.minimum_detectable_effect(samples)}

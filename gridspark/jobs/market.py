@@ -16,13 +16,16 @@ from ..operators import timeseries as ts
 from ..sources import readers, sinks
 
 #: Business types of the least and the most expected load.
-LEAST, MOST = "A60", "A61"
+LEAST, MOST = ("A60", "B10"), ("A61", "B11")
+
+
+def _keyed(docs: DataFrame, doc_id: str) -> DataFrame:
+    return docs if doc_id in docs.columns else docs.withColumn(doc_id, F.xxhash64(*docs.columns))
 
 
 def filled_points(docs: DataFrame, xml_col: str = "xml", doc_id: str = "doc_id") -> DataFrame:
     """The points of documents carried on to their period's end, with ``doc_id``; ``is_published`` marks those that are stated."""
-    keyed = docs if doc_id in docs.columns else docs.withColumn(doc_id, F.xxhash64(*docs.columns))
-    points = readers.market_points(keyed, xml_col)
+    points = readers.market_points(_keyed(docs, doc_id), xml_col).repartition(doc_id)  # a document's windows all lie in its partition
     period = Window.partitionBy(doc_id, "series_no", "period_start").orderBy("position")
     steps = F.floor((ts.seconds("period_end") - ts.seconds("period_start")) / F.col("step_s")).cast("int")
     upto = F.greatest(F.coalesce(F.col("next_") - 1, steps), F.col("position"))
@@ -31,9 +34,15 @@ def filled_points(docs: DataFrame, xml_col: str = "xml", doc_id: str = "doc_id")
     return every.withColumn("ts", F.timestamp_micros(moved).cast("timestamp_ntz")).withColumn("is_published", F.col("at") == F.col("position")).drop("at")
 
 
+def _filled_zero(by: list[str]) -> Column:
+    """A zero at an instant that ``by`` doesn't publish. Every document publishes some of its own points, so all can be judged."""
+    stated = F.max("is_published").over(Window.partitionBy(*by, "ts"))
+    return F.coalesce(~stated & (F.col("quantity") == 0), F.lit(False))
+
+
 def without_filled_zeros(points: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Row rule: a zero that the document doesn't publish was filled in and goes; NULL and other carried values stay."""
-    return ql.drop_unpublished_zeros(points.drop("is_published"), points.filter("is_published"), doc_id, "ts", "quantity")
+    return points.withColumn("filled_", _filled_zero([doc_id])).filter("not filled_").drop("filled_", "is_published")
 
 
 def _newest(rows: DataFrame, keys: list[str], *values: Column) -> DataFrame:
@@ -65,7 +74,7 @@ def generation(docs: DataFrame) -> dict[str, DataFrame]:
     """
     points = filled_points(docs)
     series = ["production_type", "side"]
-    long = ql.blank_unpublished_zeros(points.drop("is_published"), points.filter("is_published"), "doc_id", series, "ts", "quantity")
+    long = points.withColumn("quantity", F.when(~_filled_zero(["doc_id", *series]), F.col("quantity"))).drop("is_published")
     keys = ["country", "ts"]
     long = _newest(long, [*keys, *series], (F.col("quantity"), "quantity"))
     published = long.groupBy(*keys).agg(F.max("published_at").alias("published_at"))
@@ -78,19 +87,30 @@ def generation(docs: DataFrame) -> dict[str, DataFrame]:
 
 
 def load_forecast(docs: DataFrame, week_ahead: bool = False) -> dict[str, DataFrame]:
-    """Day-ahead: the document's first series, inside the limits of load. Week-ahead: least, most and their middle."""
-    points = filled_points(docs)
+    """Day-ahead: the document's first series, inside the limits of load. Week-ahead: least, most and their middle, see ``week_ahead_bounds``."""
     if week_ahead:
-        kind = F.when(F.col("business_type") == LEAST, "min").when(F.col("business_type") == MOST, "max")
-        newest = _newest(points.withColumn("kind", kind).filter("kind is not null"), ["country", "ts", "kind"], (F.col("quantity"), "quantity"))
-        rows = sh.min_max_envelope(newest, ["country", "ts"], "kind", "quantity")
+        rows = week_ahead_bounds(docs)
         return {"rows": rows, "rejected": rows.limit(0)}
+    points = filled_points(docs)
     first = points.withColumn("first", F.min("series_no").over(Window.partitionBy("doc_id"))).filter("series_no = first")
     rows = _newest(first, ["country", "ts"], (F.col("quantity"), "forecast_mw"))
     kept, rejected = ql.validate_kind(ql.null_nan(rows, ["forecast_mw"]), "forecast_mw", "load")
     return {"rows": kept, "rejected": rejected}
 
 
+def week_ahead_bounds(docs: DataFrame) -> DataFrame:
+    """(country, ts, value_min, value_max, value_mid, published_at) of the points that documents state, which are not carried on.
+
+    A series of least or most load states that bound; one of any other type, or of none, fills what no typed series of its
+    document states. A country's instant is that of its newest document as a whole.
+    """
+    kind = F.when(F.col("business_type").isin(*LEAST), "min").when(F.col("business_type").isin(*MOST), "max")
+    points = readers.market_points(_keyed(docs, "doc_id")).withColumn("kind", kind)
+    each = sh.bounds_by_precedence(points, ["country", "ts", "published_at", "doc_id"], "kind", "quantity", ["series_no", "period_start", "position"])
+    newest = F.max_by(F.struct("value_min", "value_max", "value_mid", "published_at"), F.struct("published_at", "doc_id"))
+    return each.groupBy("country", "ts").agg(newest.alias("b")).select("country", "ts", "b.*")
+
+
 def wind_solar_forecast(docs: DataFrame) -> dict[str, DataFrame]:
     """Solar and wind columns, 0 where nothing is forecast, and their total."""
     long = _newest(filled_points(docs), ["country", "ts", "production_type"], (F.col("quantity"), "quantity"))

@@ -58,6 +58,11 @@ def multipoint(responses: DataFrame, points: DataFrame, variables: list[str]) ->
     return sh.convert_units(rows.groupBy(*keys).agg(*means, F.count("*").alias("n_points")), registry)
 
 
+def store_multipoint(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Last writer wins for each country, kind and hour; of one batch the row of most points."""
+    return sinks.merge_into(spark, path, rows, ["country", "kind", "valid_at"], "valid_at", ["n_points"])
+
+
 def build_zones(plants: DataFrame, countries: DataFrame, limits: dict[str, tuple[float, float]]) -> dict[str, DataFrame]:
     """Places to ask weather for: every country's centre (country, lat, lon, name) and, by technology, clusters of its plants.
 

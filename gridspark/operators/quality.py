@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,12 +35,15 @@ def validate_kind(df: DataFrame, value_col: str, kind: str) -> tuple[DataFrame,
     return validate_range(df, value_col, *LIMITS.get(kind, (None, None)))
 
 
+def has_all(columns: list[str]) -> Column:
+    """Whether none of the columns is NULL."""
+    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns), F.lit(True))
+
+
 def not_null_guard(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """(good, rejected): a row with a NULL in a required column is set aside, never filled and never fatal."""
-    bad = F.lit(False)
-    for c in columns:
-        bad = bad | F.col(c).isNull()
-    return df.filter(~bad), df.filter(bad)
+    good = has_all(columns)
+    return df.filter(good), df.filter(~good)
 
 
 def _unpublished_zero(published: Column, value: Column, by: list[str]) -> Column:

@@ -99,6 +99,58 @@ def resolve(asked: DataFrame, name_col: str, dimension: DataFrame, key_col: str)
     return asked.join(known, name_col), asked.join(known, name_col, "left_anti")
 
 
+def resolved(asked: DataFrame, keys: list[str], dimension: DataFrame, value_col: str) -> DataFrame:
+    """``asked`` with ``value_col`` of the dimension by natural key. A key that the dimension doesn't know fails the job, by its name.
+
+    The failure is part of the plan: a complete batch costs the join and nothing else.
+    """
+    known = dimension.select(*keys, value_col).withColumn("known_", F.lit(True))
+    said = F.concat(F.lit(f"no {value_col} for ("), F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys)), F.lit(")"))
+    return asked.join(known, keys, "left").withColumn(value_col, F.when(F.col("known_"), F.col(value_col)).otherwise(F.raise_error(said).cast(dimension.schema[value_col].dataType))).drop("known_")
+
+
+def grouped_with_whole(df: DataFrame, keys: list[str], aggregates: dict[str, Column]) -> DataFrame:
+    """Aggregates of each group and of the whole in one pass, by grouping sets; ``is_whole`` marks the row over all groups."""
+    sets = df.groupingSets([[F.col(k) for k in keys], []], *(F.col(k) for k in keys))
+    return sets.agg((F.grouping_id() > 0).alias("is_whole"), *(c.alias(n) for n, c in aggregates.items()))
+
+
+def coverage_document(members: DataFrame, facts: DataFrame, key: str, name_col: str, kind_col: str, kinds: list[str], value_col: str, zones_col: str, fallback_col: str) -> DataFrame:
+    """A nested document for each member: its name, and of each kind how many, their total, the zones and whether they fell back.
+
+    ``facts`` holds a row for each plant or zone: a plant has a value, a zone has ``zones_col``; a kind fell back if its only
+    zone is the one that stands for the whole member (``fallback_col``). Kinds without a row are 0 and false.
+    """
+    zone = F.col(zones_col).isNotNull()
+    per = facts.groupBy(key, kind_col).agg(
+        F.count_if(~zone).alias("n_plants"), F.round(F.coalesce(F.sum(F.when(~zone, F.col(value_col))).cast("double"), F.lit(0.0)), 1).alias("total_capacity_mw"),
+        F.count_if(zone).alias("chosen_k"), (F.coalesce((F.count_if(zone) == 1) & F.bool_or(F.when(zone, F.col(fallback_col))), F.lit(False))).alias("fell_back_to_country"),
+    )
+    entry = F.struct("n_plants", "total_capacity_mw", "chosen_k", "fell_back_to_country")
+    held = per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col(kind_col), entry))).alias("m_"))  # a row for each kind
+    none = F.struct(F.lit(0).cast("long").alias("n_plants"), F.lit(0.0).alias("total_capacity_mw"), F.lit(0).cast("long").alias("chosen_k"), F.lit(False).alias("fell_back_to_country"))
+    every = F.map_from_arrays(F.array(*map(F.lit, kinds)), F.array(*(F.coalesce(F.try_element_at("m_", F.lit(k)), none) for k in kinds)))
+    return members.select(key, name_col).join(held, key, "left").select(key, F.col(name_col).alias("name"), every.alias("kinds"))
+
+
+def request_batches(df: DataFrame, keys: list[str], order_col: str, size: int = 50) -> DataFrame:
+    """Requests of at most ``size`` members of each key, in order: (keys, batch, members)."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order_col)) - 1
+    numbered = df.select(*keys, F.col(order_col).alias("m_"), F.floor(place / size).alias("batch"))
+    return numbered.groupBy(*keys, "batch").agg(F.sort_array(F.collect_list("m_")).alias("members"))  # at most ``size``
+
+
+def border_requests(countries: DataFrame, zones: DataFrame, edges: DataFrame) -> DataFrame:
+    """(country, neighbour): the zones that border on a country's zones, each once.
+
+    ``zones`` (country, zone): a country without a row is its own zone; ``edges`` (a, b): zones that border on each other,
+    stated in either direction.
+    """
+    own = countries.select("country").distinct().join(zones.select("country", "zone"), "country", "left").select("country", F.coalesce("zone", "country").alias("zone"))
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    return own.join(both, own["zone"] == both["a"]).select("country", F.col("b").alias("neighbour")).distinct()
+
+
 def completeness_document(df: DataFrame, dimension: DataFrame, key: str, ts_col: str) -> DataFrame:
     """One JSON document per member: has_data, record_count, present of expected days between its first and last, and both."""
     days = F.datediff(F.max(ts_col), F.min(ts_col)) + 1

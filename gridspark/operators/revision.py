@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from .timeseries import number, seconds
 
 
+#: Days of age up to which rows count for the step's floor.
+OLDEST = 70
+
+
 def age_days(clock: str, target: str) -> Column:
     return (seconds(clock) - seconds(target)) / 86_400
 
@@ -40,9 +44,28 @@ def vintage_effect(df: DataFrame, keys: list[str], num: str, den: str, age: Colu
 def verdicts(screened: DataFrame, confirmed: DataFrame, keys: list[str], tolerance: float = 0.10) -> DataFrame:
     """A flagged effect holds if an independent reference shows it too, on the same side of 1."""
     other = confirmed.select(*keys, F.col("effect").alias("effect_confirm"))
+    return screened.join(other, keys, "left").withColumn("verdict", _verdict(tolerance))
+
+
+def vintage_effects(df: DataFrame, keys: list[str], num: str, dens: list[str], age: Column, horizon: float, min_rows: int = 200, tolerance: float = 0.10) -> DataFrame:
+    """``vintage_effect`` against several references, a row for each key and reference (``den``), in one pass over ``df``."""
+    each = F.explode(F.array(*(F.struct(F.lit(d).alias("den"), F.col(d).cast("double").alias("value_")) for d in dens)))
+    rows = df.select(*keys, F.col(num).alias("num_"), age.alias("age_"), each.alias("x")).select(*keys, "num_", "age_", "x.*")
+    return vintage_effect(rows, [*keys, "den"], "num_", "value_", F.col("age_"), horizon, min_rows, tolerance)
+
+
+def confirmed_effects(df: DataFrame, keys: list[str], num: str, den: str, other: str, age: Column, horizon: float, min_rows: int = 200, tolerance: float = 0.10) -> DataFrame:
+    """``verdicts`` of ``num`` over ``den``, screened, and over ``other``, which confirms; ``df`` is read once."""
+    both = vintage_effects(df, keys, num, [den, other], age, horizon, min_rows, tolerance)
+    own = lambda d, c: F.max(F.when(F.col("den") == d, F.col(c)))
+    wide = both.groupBy(*keys).agg(*(own(den, c).alias(c) for c in ("n_old", "n_young", "effect", "flagged")), own(other, "effect").alias("effect_confirm"))
+    return wide.filter("effect is not null").withColumn("verdict", _verdict(tolerance))
+
+
+def _verdict(tolerance: float) -> Column:
     said = F.when(~F.col("flagged"), "screened only").when(F.col("effect_confirm").isNull(), "no cover")
     same = (F.abs(F.col("effect_confirm") - 1) > tolerance) & ((F.col("effect_confirm") > 1) == (F.col("effect") > 1))
-    return screened.join(other, keys, "left").withColumn("verdict", said.when(same, "CONFIRMED").otherwise("NOT CONFIRMED"))
+    return said.when(same, "CONFIRMED").otherwise("NOT CONFIRMED")
 
 
 def age_profile(df: DataFrame, num: str, den: str, age: Column, width: float = 2.0, bins: int = 24, least: int = 50) -> DataFrame:
@@ -68,14 +91,19 @@ def step_scan(df: DataFrame, keys: list[str], num: str, den: str, age: Column, h
 
 
 def step_detector(df: DataFrame, keys: list[str], num: str, den: str, age: Column, least_jump: float = 1.10, **how) -> DataFrame:
-    """The split of the largest jump per key; a boundary only if the jump is large enough."""
+    """The split of the largest jump per key; a boundary only if the jump is large enough.
+
+    A key of fewer than four times ``least`` rows of age 70 days and less (800 by default) is too small to be judged.
+    """
     order = Window.partitionBy(*keys).orderBy(F.desc("jump"), "split")
-    best = step_scan(df, keys, num, den, age, **how).withColumn("rn_", F.row_number().over(order)).filter("rn_ = 1").drop("rn_")
+    enough = df.filter(F.col(num).isNotNull() & F.col(den).isNotNull() & (age <= OLDEST)).groupBy(*keys).agg(F.count("*").alias("n_")).filter(F.col("n_") >= 4 * how.get("least", 200)).select(*keys)
+    scan = step_scan(df, keys, num, den, age, **how).join(enough, keys, "left_semi")
+    best = scan.withColumn("rn_", F.row_number().over(order)).filter("rn_ = 1").drop("rn_")
     return best.withColumn("is_boundary", F.col("jump") >= least_jump)
 
 
-def split_effects(df: DataFrame, ts_col: str, value_col: str, splits: list[str], days: int = 10, within: tuple[str, str] | None = None) -> DataFrame:
-    """Mean before and after each of several splits in one pass (the real one and its placebos).
+def split_effects(df: DataFrame, ts_col: str, value_col: str, splits: list[str], days: int = 10, within: tuple[str, str] | None = None, per_col: str | None = None) -> DataFrame:
+    """Mean before and after each of several splits in one pass (the real one and its placebos); with ``per_col`` the ratio of both sums.
 
     ``within``: splits whose window doesn't lie wholly in this range are left out, as placebos must lie inside one band.
     """
@@ -84,7 +112,8 @@ def split_effects(df: DataFrame, ts_col: str, value_col: str, splits: list[str],
         splits = [s for s in splits if inside(s)]
     every = F.array(*(F.lit(s).cast("timestamp_ntz") for s in splits))
     rows = df.withColumn("split", F.explode(every)).withColumn("d", (seconds(ts_col) - seconds("split")) / 86_400).filter((F.col("d") >= -days) & (F.col("d") < days))
-    mean = lambda after: F.sum(F.when((F.col("d") >= 0) == after, number(value_col))).cast("double") / F.sum(((F.col("d") >= 0) == after).cast("int"))
+    per = number(per_col) if per_col else F.lit(1)
+    mean = lambda after: F.sum(F.when((F.col("d") >= 0) == after, number(value_col))).cast("double") / F.nullif(F.sum(F.when((F.col("d") >= 0) == after, per)).cast("double"), F.lit(0.0))
     return rows.groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("d") < 0).alias("n_before"), F.count_if(F.col("d") >= 0).alias("n_after"), mean(False).alias("before"), mean(True).alias("after")).withColumn("effect", F.col("after") / F.col("before"))
 
 
@@ -101,8 +130,8 @@ def minimum_detectable_effect(sides: DataFrame, reference: str = "after", errors
 
 
 def placebo_verdict(effects: DataFrame, real: str, least: int = 1000, factor: float = 3.0) -> DataFrame:
-    """Whether the real split's shift is more than ``factor`` times the largest of its placebos; too small samples don't count."""
-    rows = effects.filter((F.col("n_before") >= least) & (F.col("n_after") >= least)).withColumn("shift", F.abs(F.col("effect") - 1))
+    """Whether the real split's shift is more than ``factor`` times the largest of its placebos; samples of ``least`` rows and fewer don't count."""
+    rows = effects.filter((F.col("n_before") > least) & (F.col("n_after") > least)).withColumn("shift", F.abs(F.col("effect") - 1))
     is_real = F.col("split") == F.lit(real).cast("timestamp_ntz")
     both = rows.agg(F.max(F.when(is_real, F.col("shift"))).alias("real_shift"), F.max(F.when(~is_real, F.col("shift"))).alias("worst_placebo"), F.count_if(~is_real).alias("placebos"))
     return both.withColumn("is_effect", F.col("real_shift") > factor * F.col("worst_placebo"))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .timeseries import number, total
+from .timeseries import number
 
 
 def net_sides(df: DataFrame, keys: list[str], side_col: str, value_col: str, plus: str = "aggregated", minus: str = "consumption") -> DataFrame:
@@ -18,9 +18,14 @@ def net_sides(df: DataFrame, keys: list[str], side_col: str, value_col: str, plu
     return grouped.select(*keys, net.cast("double").alias("net_value"))
 
 
-def prefer_aggregated(df: DataFrame, keys: list[str], side_col: str, value_col: str, minus: str = "consumption") -> DataFrame:
-    """The consumption side is left out altogether; a type that has only it is gone."""
-    return df.filter(~F.lower(side_col).contains(minus)).groupBy(*keys).agg(total(value_col).alias("value"))
+def prefer_aggregated(df: DataFrame, keys: list[str], side_col: str, series_col: str, minus: str = "consumption") -> DataFrame:
+    """The consumption side is left out altogether, a type that has only it is gone; of several series of a type the first stays.
+
+    ``keys`` name a type (of a document); series are not added up.
+    """
+    kept = df.filter(~F.lower(side_col).contains(minus))
+    first = F.min(series_col).over(Window.partitionBy(*keys))
+    return kept.withColumn("first_", first).filter(F.col(series_col) == F.col("first_")).drop("first_")
 
 
 def map_wide(df: DataFrame, keys: list[str], name_col: str, value_col: str, mapping: dict[str, str], absent: float | None = None) -> DataFrame:
@@ -57,6 +62,20 @@ def min_max_envelope(df: DataFrame, keys: list[str], kind_col: str, value_col: s
     return both.select(*keys, lo.alias("value_min"), hi.alias("value_max"), ((lo + hi) / 2).alias("value_mid"))
 
 
+def bounds_by_precedence(df: DataFrame, keys: list[str], kind_col: str, value_col: str, order_cols: list[str]) -> DataFrame:
+    """Lower and upper bounds of each key from series of kind "min", "max" or none, and their midpoint, as in ``min_max_envelope``.
+
+    A typed series states its bound whatever else there is, the last one by ``order_cols`` if several do; an untyped one fills
+    the bounds that no typed series states, the first one if several could.
+    """
+    place, value, kind = F.struct(*order_cols), number(value_col), F.col(kind_col)
+    typed = lambda k: F.max_by(value, F.when((kind == k) & value.isNotNull(), place))
+    untyped = F.min_by(value, F.when(kind.isNull() & value.isNotNull(), place))
+    found = df.groupBy(*keys).agg(typed("min").alias("min_"), typed("max").alias("max_"), untyped.alias("fill_"))
+    filled = found.select(*keys, F.explode(F.array(*(F.struct(F.lit(k).alias("kind_"), F.coalesce(f"{k}_", "fill_").alias("value_")) for k in ("min", "max")))).alias("b"))
+    return min_max_envelope(filled.select(*keys, "b.*"), keys, "kind_", "value_").filter("value_mid is not null")
+
+
 def stamp(df: DataFrame, quality: str, written_at: str) -> DataFrame:
     """Provenance; the write time is a parameter, so that a run can be repeated."""
     return df.withColumn("quality", F.lit(quality)).withColumn("written_at", F.lit(written_at).cast("timestamp_ntz"))

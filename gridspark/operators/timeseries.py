@@ -119,6 +119,13 @@ def rank_and_share(df: DataFrame, keys: list[str], value_col: str, tie_col: str)
     return df.withColumn("rank_in_group", F.row_number().over(by.orderBy(F.desc(value_col), tie_col))).withColumn("share", F.col(value_col).cast("double") / F.sum(value_col).over(by).cast("double"))
 
 
+def inclusive_chunks(df: DataFrame, start_col: str, end_col: str, days: int = 7) -> DataFrame:
+    """Pieces of whole days of each [start, end] row of dates, ``days`` days at most, both ends included: the next starts a day later."""
+    starts = F.sequence(F.to_date(start_col), F.to_date(end_col), F.expr(f"interval {days} days"))
+    ordered = df.filter(F.to_date(start_col) <= F.to_date(end_col))
+    return ordered.withColumn("chunk_start", F.explode(starts)).withColumn("chunk_end", F.least(F.date_add("chunk_start", days - 1), F.to_date(end_col)))
+
+
 def chunks(df: DataFrame, start_col: str, end_col: str, days: int = 90) -> DataFrame:
     """Half-open pieces of at most ``days`` days of each [start, end) row."""
     starts = F.sequence(start_col, F.col(end_col) - F.expr("interval 1 microsecond"), F.expr(f"interval {days} days"))

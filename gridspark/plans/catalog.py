@@ -273,9 +273,11 @@ def signed_netting(t):
     return sh.net_sides(_sides(t), ["ts"], "side", "value")
 
 
-@_query(f"SELECT ts, CAST(a AS DOUBLE) AS value FROM ({_SIDES}) WHERE a IS NOT NULL", digits="value")
+@_query("SELECT event_id, user_id, event_type, value FROM (SELECT *, min(event_type) OVER (PARTITION BY user_id) AS f FROM events WHERE event_type <> 'error') WHERE event_type = f")
 def prefer_aggregated(t):
-    return sh.prefer_aggregated(_sides(t), ["ts"], "side", "value")
+    """A user's event types are the series of a type, 'error' its consumption."""
+    rows = t("events").withColumn("side", F.when(F.col("event_type") == "error", "Actual Consumption").otherwise("Actual Aggregated"))
+    return sh.prefer_aggregated(rows, ["user_id"], "side", "event_type").select("event_id", "user_id", "event_type", "value")
 
 
 @_query("SELECT user_id, CAST(ts AS DATE) AS day, " + ", ".join(f"coalesce(sum(CASE WHEN event_type IN ({n}) THEN value END), 0) AS {c}" for c, n in (("wind", "'view'"), ("solar", "'click'"), ("other", "'purchase', 'error', 'signup'"))) + " FROM events GROUP BY ALL", digits="wind solar other")
@@ -411,9 +413,7 @@ def vintage_effect(t):
 
 @_query(f"SELECT a.*, b.effect AS effect_confirm, CASE WHEN NOT a.flagged THEN 'screened only' WHEN b.effect IS NULL THEN 'no cover' WHEN abs(b.effect - 1) > 0.1 AND (b.effect > 1) = (a.effect > 1) THEN 'CONFIRMED' ELSE 'NOT CONFIRMED' END AS verdict FROM ({_effect_sql('p_retailprice')}) a LEFT JOIN ({_effect_sql('p_size')}) b USING (l_linestatus, l_returnflag)", digits="effect effect_confirm")
 def vintage_confirm(t):
-    keys = ["l_linestatus", "l_returnflag"]
-    found = [rv.vintage_effect(_paired(t), keys, "l_extendedprice", den, _age(), 365) for den in ("p_retailprice", "p_size")]
-    return rv.verdicts(*found, keys)
+    return rv.confirmed_effects(_paired(t), ["l_linestatus", "l_returnflag"], "l_extendedprice", "p_retailprice", "p_size", _age(), 365)
 
 
 @_query(f"SELECT CAST(floor(age / 60) AS BIGINT) AS bin, count(*) AS n, sum(l_extendedprice) / nullif(sum(l_quantity), 0) AS ratio FROM (SELECT *, {_AGE} AS age FROM {_AGED}) WHERE age >= 0 AND age < 1440 GROUP BY ALL HAVING count(*) >= 50", digits="ratio")
@@ -421,7 +421,7 @@ def age_profile(t):
     return rv.age_profile(_aged(t), "l_extendedprice", "l_quantity", _age(), 60.0, 24)
 
 
-@_query(f"WITH b AS (SELECT l_returnflag, CAST(floor(age / 30 / 0.25) AS INTEGER) AS b, l_extendedprice AS g, l_quantity AS r FROM (SELECT *, {_AGE} AS age FROM {_AGED})), s AS (SELECT f AS l_returnflag, CAST(k AS INTEGER) AS k FROM (SELECT DISTINCT l_returnflag AS f FROM lineitem), generate_series(12, 180) x(k)), j AS (SELECT s.l_returnflag, k, count(*) FILTER (WHERE b < k) AS n1, count(*) FILTER (WHERE b >= k) AS n2, CAST(sum(g) FILTER (WHERE b < k) AS DOUBLE) / CAST(sum(r) FILTER (WHERE b < k) AS DOUBLE) AS r1, CAST(sum(g) FILTER (WHERE b >= k) AS DOUBLE) / CAST(sum(r) FILTER (WHERE b >= k) AS DOUBLE) AS r2 FROM s JOIN b ON b.l_returnflag = s.l_returnflag AND b >= k - 28 AND b < k + 28 GROUP BY ALL), x AS (SELECT *, greatest(r1 / r2, r2 / r1) AS jump, row_number() OVER (PARTITION BY l_returnflag ORDER BY greatest(r1 / r2, r2 / r1) DESC, k) AS rn FROM j WHERE n1 >= 200 AND n2 >= 200) SELECT l_returnflag, k * 0.25::DOUBLE AS split, r1, r2, jump, jump >= 1.1 AS is_boundary FROM x WHERE rn = 1", digits="r1 r2 jump")
+@_query(f"WITH b AS (SELECT l_returnflag, CAST(floor(age / 30 / 0.25) AS INTEGER) AS b, l_extendedprice AS g, l_quantity AS r FROM (SELECT *, {_AGE} AS age FROM {_AGED})), s AS (SELECT f AS l_returnflag, CAST(k AS INTEGER) AS k FROM (SELECT DISTINCT l_returnflag AS f FROM lineitem), generate_series(12, 180) x(k)), j AS (SELECT s.l_returnflag, k, count(*) FILTER (WHERE b < k) AS n1, count(*) FILTER (WHERE b >= k) AS n2, CAST(sum(g) FILTER (WHERE b < k) AS DOUBLE) / CAST(sum(r) FILTER (WHERE b < k) AS DOUBLE) AS r1, CAST(sum(g) FILTER (WHERE b >= k) AS DOUBLE) / CAST(sum(r) FILTER (WHERE b >= k) AS DOUBLE) AS r2 FROM s JOIN b ON b.l_returnflag = s.l_returnflag AND b >= k - 28 AND b < k + 28 GROUP BY ALL), x AS (SELECT *, greatest(r1 / r2, r2 / r1) AS jump, row_number() OVER (PARTITION BY l_returnflag ORDER BY greatest(r1 / r2, r2 / r1) DESC, k) AS rn FROM j WHERE n1 >= 200 AND n2 >= 200 AND l_returnflag IN (SELECT l_returnflag FROM b WHERE b <= 280 GROUP BY ALL HAVING count(*) >= 800)) SELECT l_returnflag, k * 0.25::DOUBLE AS split, r1, r2, jump, jump >= 1.1 AS is_boundary FROM x WHERE rn = 1", digits="r1 r2 jump")
 def step_detector(t):
     return rv.step_detector(_aged(t), ["l_returnflag"], "l_extendedprice", "l_quantity", _age() / 30)
 
@@ -477,9 +477,12 @@ def classify_text(t):
 
 
 _NAMES = "|".join(tx.NAMES)
+_REDACTED = f"regexp_replace(text, '(?i)\\b({_NAMES})(\\s*[=:]\\s*)\"[^\"]*\"', '\\1\\2\"***\"', 'g')"
+for _q, _v in (('"', '"'), ('"', "''"), ("''", '"'), ("''", "''")):
+    _REDACTED = f"regexp_replace({_REDACTED}, '(?i){_q}({_NAMES}){_q}(\\s*:\\s*){_v}[^{_v[0]}]*{_v}', '{_q}\\1{_q}\\2{_v}***{_v}', 'g')".replace("[^']", "[^'']")
 
 
-@_query(f"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(?i)\\b({_NAMES})(\\s*[=:]\\s*\")[^\"]*\"', '\\1\\2***\"', 'g'), '(?i)([\"''])({_NAMES})([\"'']\\s*:\\s*)([\"''])[^\"'']*[\"'']', '\\1\\2\\3\\4***\\4', 'g'), '(?i)\\b({_NAMES})=[^\\s&\"''<>\\])*][^\\s&\"''<>\\])]*', '\\1=***', 'g') AS redacted FROM documents")
+@_query(f"SELECT doc_id, regexp_replace({_REDACTED}, '(?i)\\b({_NAMES})=[^\\s&\"''<>\\])]+', '\\1=***', 'g') AS redacted FROM documents")
 def redact_text(t):
     return t("documents").select("doc_id", tx.redact(F.col("text")).alias("redacted"))
 
@@ -538,7 +541,17 @@ def border_expansion(t):
 
 @_query(_SQL["hourly_mean"], digits="mean_value")
 def stream_hourly_mean(spark, sf_dir):
-    return jobs.collected(spark, jobs.hourly_mean(jobs.read_table(spark, sf_dir, "events"), ["event_type"], "ts", "value"), "complete")
+    return jobs.collected(spark, jobs.hourly_mean(jobs.read_table(spark, sf_dir, "events"), ["event_type"], "ts", "value"), "update", ["event_type", "ts"])
+
+
+#: The instant up to which a stream's watermark has come at the end of the table.
+_MARK = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 7 DAY FROM events)"
+
+
+@_query(f"SELECT * FROM ({_SQL['hourly_mean']}) WHERE ts + INTERVAL 1 HOUR <= {_MARK}", digits="mean_value")
+def stream_closed_hours(spark, sf_dir):
+    """Each hour once, when the watermark closes it and its state goes."""
+    return jobs.collected(spark, jobs.hourly_mean(jobs.read_table(spark, sf_dir, "events", 1), ["event_type"], "ts", "value"), "append")
 
 
 @_query("SELECT count(*) AS n FROM events")
@@ -547,14 +560,16 @@ def stream_dedupe(spark, sf_dir):
     return rows.agg(F.count("*").alias("n"))
 
 
-@_query("SELECT user_id, count(*) AS n, min(ts) AS first_seen, max(ts) AS last_seen FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 21600000000 THEN 1 ELSE 0 END AS new FROM events)) GROUP BY user_id, s")
+@_query("SELECT user_id, count(*) AS n, min(ts) AS first_seen, max(ts) AS last_seen FROM (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 21600000000 THEN 1 ELSE 0 END AS new FROM events)) GROUP BY user_id, s" + f" HAVING max(ts) + INTERVAL 6 HOUR <= {_MARK}")
 def stream_sessions(spark, sf_dir):
-    return jobs.collected(spark, jobs.sessions(jobs.read_table(spark, sf_dir, "events"), ["user_id"], "ts"), "complete")
+    """Sessions that are over: those that a row could still go on with stay in the state."""
+    return jobs.collected(spark, jobs.sessions(jobs.read_table(spark, sf_dir, "events", 1), ["user_id"], "ts"), "append")
 
 
 @_query("SELECT user_id, max(ts) AS ts, max_by(event_id, ts) AS event_id, max_by(value, ts) AS value FROM events GROUP BY ALL")
 def stream_latest(spark, sf_dir):
-    return jobs.collected(spark, jobs.latest(jobs.read_table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id", "value"]), "complete")
+    with jobs.large_state(spark):
+        return jobs.collected(spark, jobs.latest(jobs.read_table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id", "value"]), "update", ["user_id"])
 
 
-from . import ingests, reports  # noqa: E402, F401  (they add their queries)
+from . import ingests, reports, stores  # noqa: E402, F401  (they add their queries)

@@ -23,15 +23,17 @@ from .catalog import _PLACEBOS, _PLACED, _SQL, _placed, _query
 CODES = {"view": "B16", "click": "B19", "purchase": "B10", "error": "B14", "signup": "B99"}
 
 
-def _documents(points: DataFrame, keys: list[str], code=None, out_side=None, business: str = "A04") -> DataFrame:
-    """A document for each of ``keys`` and day from hourly ``points`` (keys, day, hour, q); its series by ``code`` and side."""
+def _documents(points: DataFrame, keys: list[str], code=None, out_side=None, business="A04") -> DataFrame:
+    """A document for each of ``keys`` and day from hourly ``points`` (keys, day, hour, q); its series by ``code``, side and type."""
     point = F.struct("hour", F.format_string("<Point><position>%d</position><quantity>%d</quantity></Point>", F.col("hour") + 1, "q").alias("xml"))
     code, out_side = F.lit("") if code is None else code, F.lit(False) if out_side is None else out_side
-    series = points.groupBy(*keys, "day", code.alias("code"), out_side.alias("out_side")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(point)), lambda p: p["xml"]), "").alias("points"))
+    business = F.lit(business) if isinstance(business, str) else business
+    series = points.groupBy(*keys, "day", code.alias("code"), out_side.alias("out_side"), business.alias("business")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(point)), lambda p: p["xml"]), "").alias("points"))
     domain = F.when(F.col("out_side"), '<outBiddingZone_Domain.mRID codingScheme="A01">Z</outBiddingZone_Domain.mRID>').otherwise("")
     kind = F.when(F.col("code") != "", F.concat(F.lit("<MktPSRType><psrType>"), "code", F.lit("</psrType></MktPSRType>"))).otherwise("")
     bounds = F.concat(F.lit("<start>"), F.col("day").cast("string"), F.lit("T00:00Z</start><end>"), F.date_add("day", 1).cast("string"), F.lit("T00:00Z</end>"))
-    xml = F.concat(F.lit(f"<TimeSeries><businessType>{business}</businessType>"), domain, kind, F.lit("<Period><timeInterval>"), bounds, F.lit("</timeInterval><resolution>PT60M</resolution>"), "points", F.lit("</Period></TimeSeries>"))
+    typed = F.when(F.col("business") != "", F.concat(F.lit("<businessType>"), "business", F.lit("</businessType>"))).otherwise("")
+    xml = F.concat(F.lit("<TimeSeries>"), typed, domain, kind, F.lit("<Period><timeInterval>"), bounds, F.lit("</timeInterval><resolution>PT60M</resolution>"), "points", F.lit("</Period></TimeSeries>"))
     documents = series.groupBy(*keys, "day").agg(F.array_join(F.sort_array(F.collect_list(xml)), "").alias("body"))
     return documents.select(*keys, F.concat(F.lit('<Publication_MarketDocument xmlns="urn:x"><createdDateTime>2024-02-01T00:00:00Z</createdDateTime>'), "body", F.lit("</Publication_MarketDocument>")).alias("xml"))
 
@@ -111,9 +113,9 @@ def job_flows(t):
     return mk.flows(docs, borders)["rows"].select("from_country", "to_country", "ts", "flow_mw")
 
 
-@_query(_filled_sql("count(*) * 10", "WHERE event_type IN ('view', 'click', 'error')", country="'C' || (user_id % 5)", kind="event_type") + " SELECT country, ts, coalesce(sum(v) FILTER (WHERE kind = 'view'), 0) AS solar_mw, coalesce(sum(v) FILTER (WHERE kind = 'click'), 0) AS wind_onshore_mw, 0.0::DOUBLE AS wind_offshore_mw, coalesce(sum(v) FILTER (WHERE kind = 'view'), 0) + coalesce(sum(v) FILTER (WHERE kind = 'click'), 0) AS total_mw FROM f WHERE kind <> 'error' GROUP BY country, ts")
+@_query(_filled_sql("count(*) * 10", country="'C' || (user_id % 5)", kind="event_type") + " SELECT country, ts, coalesce(sum(v) FILTER (WHERE kind = 'view'), 0) AS solar_mw, coalesce(sum(v) FILTER (WHERE kind = 'click'), 0) AS wind_onshore_mw, 0.0::DOUBLE AS wind_offshore_mw, coalesce(sum(v) FILTER (WHERE kind = 'view'), 0) + coalesce(sum(v) FILTER (WHERE kind = 'click'), 0) AS total_mw FROM f WHERE kind IN ('view', 'click') GROUP BY country, ts")
 def job_wind_solar_forecast(t):
-    points = _hourly(t, F.count("*") * 10, country="concat('C', user_id % 5)", kind="event_type").filter("kind in ('view', 'click', 'error')")
+    points = _hourly(t, F.count("*") * 10, country="concat('C', user_id % 5)", kind="event_type")
     code = F.create_map(*(F.lit(x) for kv in CODES.items() for x in kv))[F.col("kind")]
     return mk.wind_solar_forecast(_documents(points.withColumn("code_", code), ["country"], F.col("code_")))["rows"]
 
@@ -124,6 +126,20 @@ def job_load_forecast(t):
     return mk.load_forecast(docs)["rows"].select("country", "ts", "forecast_mw")
 
 
+#: Types of series that events stand for: least and most load under both names, and two series that state neither.
+BOUNDS = {"view": "A60", "click": "A61", "purchase": "B10", "error": "B11", "signup": ""}
+
+
+@_query("WITH q AS (SELECT 'C' || (user_id % 5) AS country, date_trunc('hour', ts) AS ts, CASE WHEN event_type = 'signup' THEN 'signup' || (user_id % 2) ELSE event_type END AS k, count(*) * 100 AS v FROM events GROUP BY ALL), p AS (SELECT country, ts, " + ", ".join(f"max(v) FILTER (WHERE k = '{k}') AS {k}" for k in ("view", "click", "purchase", "error", "signup0", "signup1")) + " FROM q GROUP BY ALL), b AS (SELECT country, ts, coalesce(purchase, view, signup0, signup1) AS lo, coalesce(error, click, signup0, signup1) AS hi FROM p) SELECT country, ts, CAST(coalesce(lo, hi) AS DOUBLE) AS value_min, CAST(coalesce(hi, lo) AS DOUBLE) AS value_max, (coalesce(lo, hi) + coalesce(hi, lo)) / 2 AS value_mid FROM b")
+def job_week_ahead(t):
+    """All cases of bounds: typed under either name, untyped alone or beside either, one side only."""
+    kind, half = F.col("kind"), F.when(F.col("kind") == "signup", F.concat(F.lit("B1"), F.col("half").cast("string"))).otherwise("")
+    points = _hourly(t, F.count("*") * 100, country="concat('C', user_id % 5)", kind="event_type", half="case when event_type = 'signup' then user_id % 2 end")
+    business = F.create_map(*(F.lit(x) for kv in BOUNDS.items() for x in kv))[kind]
+    docs = _documents(points, ["country"], half, business=business)
+    return mk.load_forecast(docs, week_ahead=True)["rows"].select("country", "ts", "value_min", "value_max", "value_mid")
+
+
 def _responses(t, source, value) -> DataFrame:
     """A response of each source and day for the places 0 to 3: users by their number, hours by the events' counts."""
     hours = t("events").groupBy(source.alias("source"), F.to_date("ts").alias("day"), (F.col("user_id") % 4).cast("int").alias("place"), F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm").alias("h")).agg(value.alias("v"))
@@ -186,14 +202,14 @@ def publication_repair_plan(t):
     return mt.publication_repair_plan(t("lineitem").withColumn("v", F.nullif("l_tax", F.lit(0.0))), ["l_suppkey"], "l_shipdate", "v", 2)
 
 
-@_query("SELECT k AS l_suppkey, m AS month, m + INTERVAL 1 MONTH AS month_end, strftime(m, '%Y-%m') AS month_key FROM (SELECT s_suppkey AS k FROM supplier) a, (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS m) b WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = k AND date_trunc('month', l_shipdate) = m AND l_returnflag = 'R')")
+@_query("SELECT k AS l_suppkey, m AS month, m + INTERVAL 1 MONTH AS month_end, strftime(m, '%Y-%m') AS month_key FROM (SELECT s_suppkey AS k FROM supplier) a, (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS m) b WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = k AND date_trunc('month', l_shipdate) = m)")
 def skip_aware_month_plan(t):
-    return mt.month_plan(t("lineitem").filter("l_returnflag = 'R'"), ["l_suppkey"], "l_shipdate", "1995-01-01 00:00:00", "1999-12-01 00:00:00", t("supplier").withColumnRenamed("s_suppkey", "l_suppkey"))
+    return mt.month_plan(t("lineitem"), ["l_suppkey"], "l_shipdate", "1995-01-01 00:00:00", "1999-12-01 00:00:00", t("supplier").withColumnRenamed("s_suppkey", "l_suppkey"))
 
 
-@_query("SELECT 'documents' AS dimension, side, CAST(doc_id AS VARCHAR) AS member FROM (" + _SQL["dimension_drift"] + ") UNION ALL SELECT 'suppliers', 'left_only', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 49) UNION ALL SELECT 'customers', 'left_only', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@_query("SELECT 'documents' AS dimension, side, CAST(doc_id AS VARCHAR) AS member FROM (" + _SQL["dimension_drift"] + ") UNION ALL SELECT 'suppliers', 'left_only', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem) UNION ALL SELECT 'customers', 'left_only', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def dimension_drifts(t):
-    big = t("lineitem").filter("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
+    big = t("lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
     buyers = t("orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return mt.drifts({"documents": (t("documents"), t("labels"), ["doc_id"]), "suppliers": (t("supplier"), big, ["s_suppkey"]), "customers": (t("customer"), buyers, ["c_custkey"])})
 

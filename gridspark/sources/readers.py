@@ -29,8 +29,8 @@ def instant(text: Column) -> Column:
 def market_points(df: DataFrame, xml_col: str = "xml") -> DataFrame:
     """One row per published point: ts = start + (position - 1) x resolution. What can't be read is left out, never guessed."""
     bare = F.regexp_replace(F.col(xml_col), r"\sxmlns(:\w+)?=\"[^\"]*\"", "")
-    doc = df.withColumn("doc_", F.from_xml(bare, DOCUMENT, {"mode": "PERMISSIVE"}))
     others = [c for c in df.columns if c != xml_col]
+    doc = df.select(*others, F.explode(F.array(F.from_xml(bare, DOCUMENT, {"mode": "PERMISSIVE"}))).alias("doc_"))  # parsed once, not once a field
     series = doc.select(*others, instant(F.col("doc_.createdDateTime")).alias("published_at"), F.posexplode("doc_.TimeSeries").alias("series_no", "s"))
     code = F.col("s.MktPSRType.psrType")
     periods = series.select(*others, "published_at", "series_no", F.col("s.businessType").alias("business_type"), production_type(code).alias("production_type"), F.when(F.col("s.`outBiddingZone_Domain.mRID`").isNotNull(), "consumption").otherwise("aggregated").alias("side"), F.explode("s.Period").alias("p"))

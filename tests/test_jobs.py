@@ -217,7 +217,8 @@ def test_revision_study_by_modes(spark):
     df = spark.createDataFrame(rows, "k string, target timestamp, clock timestamp, v double, r double, o double")
     found = maintenance.revision_study(df, ["k"], "target", "clock", "v", "r", "o", 16.67, min_rows=50, least=50, low=3.0, high=40.0)
     assert found["confirm"].first().verdict == "CONFIRMED" and abs(found["boundary"].first().split - 16.67) < 0.5 and found["exposure"].first().n == 1200
-    assert set(maintenance.revision_study(df, ["k"], "target", "clock", "v", "r", "o", 16.67, ("spot",))) == {"spot"}
+    assert set(maintenance.revision_study(df, ["k"], "target", "clock", "v", "r", "o", 16.67, ("exposure", "sweep"))) == {"exposure", "sweep"}
+    assert {"boundary_profile", "spot", "spot_effects", "spot_verdict", "spot_samples", "spot_detectable"} < set(found)
     with pytest.raises(ValueError):
         maintenance.revision_study(df, ["k"], "target", "clock", "v", "r", "o", 16.67, ("all",))
 
