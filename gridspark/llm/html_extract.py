@@ -1,11 +1,11 @@
 """Main text of web pages by a tree-structured graphical model over the DOM.
 
-Every element has a hidden label, content or not. A unary potential scores the element's own features (tag, words of its
-class, id and role, how much of its text is in links, how long its text is), and a pairwise potential ties it to its
-parent's label, by kind of tag. Messages are passed from the leaves up and back down (sum-product, exact on a tree), and a
+Every element has a hidden label, content or not. A unary potential scores the element's own features (tags, links in it
+and in its parent, length, sentences, place and share of its text, elements like it, words of classes, ids and roles), and a
+pairwise potential ties it to its parent's label, by kind of tag. Messages are passed from the leaves up and back down (sum-product, exact on a tree), and a
 text block is kept if the marginal of the element that holds it says content. All potentials are fitted together to
 labelled pages, by the gradient of their likelihood, which the same messages give. As no labelled pages are given, the
-labelled ones are composed here from layouts.
+labelled ones are composed here; in half of them no tag, class or role tells the parts apart.
 
 Defined cases: a null or empty page has no text; a broken or cut page is read as far as it goes; an open tag that its
 context closes (p, li, ...) is closed; repeated rows are pages of their own; columns other than the named ones are ignored.
@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from math import exp, log1p
 
 import numpy as np
@@ -36,27 +37,37 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("html head body address article aside blockquote dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _INLINE = frozenset("a abbr b bdi bdo cite code em font i kbd label mark q s small span strong sub sup u var".split())
+#: Elements that name what they hold.
+_PARTS = frozenset("main article nav aside footer header form dialog".split())
+_STOPS = ".!?\u3002\u0964"
 _SPACE = re.compile(r"\s+")
 
 
 class Page:
-    """parent, tag and attributes of each element in page order (0 is the root), and the text blocks (element, text)."""
+    """parent, tag and attributes of each element in page order (0 is the root), and the text blocks (element, text).
+
+    Read in one pass: what is open is counted, never searched for, so depth and stray end tags cost nothing more.
+    """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.words = [-1], ["root"], [()]
-        self.text, self.linked = [0], [0]
+        self.parent, self.tag, self.words, self.inside, self.before = [-1], ["root"], [()], [""], [0]
+        self.text, self.linked, self.own, self.marks = [0], [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []
-        stack, open_parts, holder, at = [0], [], 0, 0
+        stack, holders, paragraphs, opened = [0], [0], [], {}  # open elements, those that hold text, those that a block ends
+        open_parts, total, at = [], 0, 0
+        holder = 0
 
         def text(raw: str) -> None:
-            nonlocal holder
+            nonlocal holder, total
             if raw:
                 if not open_parts:
-                    holder = next(n for n in reversed(stack) if self.tag[n] not in _INLINE)
+                    holder = holders[-1]
                 open_parts.append(raw)
                 n = len(raw) - raw.count(" ")
                 self.text[stack[-1]] += n
-                if any(self.tag[k] == "a" for k in stack):
+                self.own[holder] += n
+                total += n
+                if opened.get("a"):
                     self.linked[stack[-1]] += n
 
         def close() -> None:
@@ -64,6 +75,17 @@ class Page:
             open_parts.clear()
             if whole:
                 self.blocks.append((holder, whole))
+                self.marks[holder] += sum(map(whole.count, _STOPS))
+
+        def pop() -> str:
+            n = stack.pop()
+            name = self.tag[n]
+            opened[name] -= 1
+            if name not in _INLINE:
+                holders.pop()
+            if name == "p":
+                paragraphs.pop()
+            return name
 
         for m in _TOKEN.finditer(source):
             text(source[at : m.start()])
@@ -77,35 +99,72 @@ class Page:
             if name in BLOCK:
                 close()
             if ending:
-                if name in self.tag and any(self.tag[n] == name for n in stack):
-                    while self.tag[stack[-1]] != name:
-                        stack.pop()
-                    stack.pop()
+                if opened.get(name):
+                    while pop() != name:
+                        pass
                 continue
-            if name in BLOCK and any(self.tag[n] == "p" for n in stack):  # a block ends an open paragraph
-                k = max(i for i, n in enumerate(stack) if self.tag[n] == "p")
-                if all(self.tag[n] in _INLINE for n in stack[k + 1 :]):
-                    del stack[k:]
+            if name in BLOCK and paragraphs and holders[-1] == paragraphs[-1]:  # a block ends an open paragraph
+                while pop() != "p":
+                    pass
             while self.tag[stack[-1]] in CLOSES.get(name, ()):
-                stack.pop()
-            self.parent.append(stack[-1])
+                pop()
+            up, n = stack[-1], len(self.tag)
+            self.parent.append(up)
             self.tag.append(name)
-            self.text.append(0)
-            self.linked.append(0)
-            self.words.append(tuple(w for a in _ATTR.finditer(m[4] or "") for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())))
+            for count in (self.text, self.linked, self.own, self.marks):
+                count.append(0)
+            self.before.append(total)
+            self.inside.append(name if name in _PARTS else self.inside[up])
+            self.words.append(tuple(sorted({w for a in _ATTR.finditer(m[4]) for w in _WORD.findall((a[2] or a[3] or a[4] or "").lower())})) if m[4] else ())
             if name not in VOID and not (m[4] or "").endswith("/"):
-                stack.append(len(self.tag) - 1)
+                stack.append(n)
+                opened[name] = opened.get(name, 0) + 1
+                if name not in _INLINE:
+                    holders.append(n)
+                if name == "p":
+                    paragraphs.append(n)
         cut = _CUT_TAG.search(source, at)
         text(source[at : cut.start()] if cut else source[at:])
         close()
         for n in range(len(self.tag) - 1, 0, -1):
             self.text[self.parent[n]] += self.text[n]
             self.linked[self.parent[n]] += self.linked[n]
+        self.alike = Counter(zip(self.parent, self.tag, strict=True))
+        self.has_main = any(t in ("main", "article") and size for t, size in zip(self.tag, self.text, strict=True))
+
+    @cached_property
+    def keys(self) -> list[tuple]:
+        return [self.key(n) for n in range(len(self.tag))]
+
+    @cached_property
+    def all_features(self) -> list[list[str]]:
+        known: dict[tuple, list[str]] = {}
+        return [known[k] if k in known else known.setdefault(k, features(k)) for k in self.keys]
+
+    def key(self, n: int) -> tuple:
+        """What is known of an element, in a few steps each: equal for elements that look alike."""
+        size, whole, up = self.text[n], max(1, self.text[0]), self.parent[n]
+        above = self.text[up] if n else 0
+        place = (self.before[n] * 2 + size) / (2 * whole)
+        return (
+            self.tag[n], self.tag[up] if n else "", 5 * self.linked[n] // size if size else -1, 5 * self.linked[up] // above if above else -1, min(6, size.bit_length() // 2), min(6, self.own[n].bit_length() // 2),
+            min(2, self.marks[n]) if self.own[n] else -1, min(3, self.alike[up, self.tag[n]].bit_length()), 5 * size // whole, 0 if place < 0.15 else 2 if place > 0.85 else 1,
+            self.inside[n], self.has_main, min(5, whole.bit_length() // 3), self.words[n], self.words[up] if n else (),
+        )
 
     def features(self, n: int) -> list[str]:
-        size = self.text[n]
-        link = "none" if not size else str(min(4, 5 * self.linked[n] // size))
-        return ["bias", f"tag={self.tag[n]}", f"link={link}", f"size={min(6, size.bit_length() // 2)}", *(f"word={w}" for w in set(self.words[n])), *(f"up={w}" for w in set(self.words[self.parent[n]])), f"parent={self.tag[self.parent[n]]}"]
+        return features(self.key(n))
+
+
+#: Names of the parts of ``Page.key`` but for the words.
+_NAMES = ("tag", "parent", "link", "uplink", "size", "own", "marks", "alike", "share", "place", "inside", "main", "whole")
+
+
+def features(key: tuple) -> list[str]:
+    """Features of an element: its tag and its parent's, links and text in it, its place and its likes, and words of both elements' attributes."""
+    inside, main, own = key[10], key[11], key[5]
+    joint = [f"inside={inside},main={main}", f"own={own},marks={key[6]}", f"own={own},link={key[2]}", f"place={key[9]},own={own}"]
+    return ["bias", *(f"{n}={v}" for n, v in zip(_NAMES, key, strict=False)), *joint, *(f"word={w}" for w in key[-2]), *(f"up={w}" for w in key[-1])]
 
 
 def _log_sum(a: float, b: float) -> float:
@@ -122,31 +181,39 @@ class Model:
     def __init__(self, unary: dict[str, float], pair: dict[str, list[list[float]]]):
         self.unary, self.pair = unary, pair
 
-    def beliefs(self, page: Page) -> tuple[np.ndarray, list]:
+    def beliefs(self, page: Page, edges: bool = True) -> tuple[np.ndarray, list | None]:
         """P(content) of each element, and per element below the root the log weights of (parent's label, own label)."""
         n = len(page.tag)
         kinds = [self.pair[_kind(t)] for t in page.tag]
-        score = [sum(map(self.unary.get, f, (0.0,) * len(f))) for f in map(page.features, range(n))]
-        up = [[0.0, s] for s in score]  # belief of the element from itself and what is below it
-        sent = [(0.0, 0.0)] * n
+        known: dict[tuple, float] = {}
+        score = []
+        for key in page.keys:
+            if key not in known:
+                known[key] = sum(self.unary.get(f, 0.0) for f in features(key))
+            score.append(known[key])
+        up0, up1 = [0.0] * n, list(score)  # beliefs of the element from itself and what is below it
+        sent: list[tuple[float, float]] = [(0.0, 0.0)] * n
         for i in range(n - 1, 0, -1):
-            b, t = up[i], kinds[i]
-            message = tuple(_log_sum(t[label][0] + b[0], t[label][1] + b[1]) for label in (0, 1))
-            sent[i] = message
-            above = up[page.parent[i]]
-            above[0] += message[0]
-            above[1] += message[1]
-        full, edges = [list(b) for b in up], [None] * n
+            (t00, t01), (t10, t11) = kinds[i]
+            b0, b1 = up0[i], up1[i]
+            m0, m1 = _log_sum(t00 + b0, t01 + b1), _log_sum(t10 + b0, t11 + b1)
+            sent[i] = (m0, m1)
+            above = page.parent[i]
+            up0[above] += m0
+            up1[above] += m1
+        full0, full1, rests = list(up0), list(up1), [(0.0, 0.0)] * n
         for i in range(1, n):  # downwards: what the parent knows without this child
-            p, t = full[page.parent[i]], kinds[i]
-            rest = (p[0] - sent[i][0], p[1] - sent[i][1])
-            edges[i] = [[rest[a] + t[a][b] + up[i][b] for b in (0, 1)] for a in (0, 1)]
-            for label in (0, 1):
-                full[i][label] = up[i][label] + _log_sum(rest[0] + t[0][label], rest[1] + t[1][label])
-        return np.asarray([1 / (1 + np.exp(min(700.0, max(-700.0, b[0] - b[1])))) for b in full]), edges
+            (t00, t01), (t10, t11) = kinds[i]
+            above, (m0, m1) = page.parent[i], sent[i]
+            r0, r1 = full0[above] - m0, full1[above] - m1
+            rests[i] = (r0, r1)
+            full0[i] += _log_sum(r0 + t00, r1 + t10)
+            full1[i] += _log_sum(r0 + t01, r1 + t11)
+        content = 1 / (1 + np.exp(np.clip(np.asarray(full0) - np.asarray(full1), -700, 700)))
+        return content, [None, *([[rests[i][a] + kinds[i][a][b] + (up0, up1)[b][i] for b in (0, 1)] for a in (0, 1)] for i in range(1, n))] if edges else None
 
     def marginals(self, page: Page) -> np.ndarray:
-        return self.beliefs(page)[0]
+        return self.beliefs(page, False)[0]
 
     def extract(self, source: str | None) -> str:
         if not source:
@@ -163,7 +230,7 @@ def _start(pages: list[tuple[Page, list[int]]], steps: int, rate: float, l2: flo
     pair = {k: [[1.0, 1.0], [1.0, 1.0]] for k in ("inline", "section", "leaf", "part")}
     for page, labels in pages:
         for n in range(len(page.tag)):
-            rows.append([names.setdefault(f, len(names)) for f in page.features(n)])
+            rows.append([names.setdefault(f, len(names)) for f in page.all_features[n]])
             y.append(labels[n])
             if n:
                 pair[_kind(page.tag[n])][labels[page.parent[n]]][labels[n]] += 1
@@ -185,7 +252,7 @@ def gradient(model: Model, page: Page, labels: list[int]) -> tuple[float, dict[s
     total = 0.0
     for n, label in enumerate(labels):
         p = content[n] if label else 1 - content[n]
-        for f in page.features(n):
+        for f in page.all_features[n]:
             unary[f] = unary.get(f, 0.0) + label - content[n]
         if n:
             e = np.asarray(edges[n])
@@ -225,46 +292,101 @@ OTHER = [
 ]
 
 
-@lru_cache(maxsize=1)
-def labelled_pages(n: int = 240, seed: int = 5) -> list[tuple[Page, list[int]]]:
-    """Pages composed of the layouts above; a page's parts may also stand inside its content. A block's first letter is its label."""
-    rng = np.random.default_rng(seed)
+#: Plain openings of parts without a name of their own.
+PLAIN = ["|", "<div>|</div>", "<div><div>|</div></div>", "<table><tr><td>|</td></tr></table>", "<section>|</section>", "<center>|</center>"]
+
+
+class Composer:
+    """Labelled pages from layouts. A block's first letter is its label: C for content, N for anything else.
+
+    Half of the pages name their parts by tags, classes and roles; the others don't, and hold only what can be told by its form
+    beside the content: lists and rows of links, forms, buttons, short notices. Some pages are nothing but a few blocks.
+    """
+
+    def __init__(self, seed: int, content: list[str] | None = None, other: list[str] | None = None, plain: list[str] | None = None, named: float = 0.35, few: float = 0.3):
+        self.named, self.few = named, few
+        self.rng, self.layouts, self.others, self.plain = np.random.default_rng(seed), content or CONTENT, other or OTHER, plain or PLAIN
+
+    def number(self, low: int, high: int) -> int:
+        return int(self.rng.integers(low, high))
 
-    def prose(mark: str, most: int) -> str:
-        return mark + " ".join("lorem" * int(k) for k in rng.integers(1, 3, int(rng.integers(1, max(2, most)))))
+    def one(self, of: list) -> str:
+        return of[self.number(0, len(of))]
 
-    def part(layout: str, content: bool) -> str:
+    def prose(self, mark: str, most: int, stops: bool = True) -> str:
+        words = ["loremipsum"[:k] for k in self.rng.integers(1, 9, self.number(1, max(2, most))).tolist()]  # their lengths are all that counts
+        for k in range(self.number(4, 12), len(words), self.number(6, 14)):
+            words[k - 1] += "." if stops else ""
+        return mark + " ".join(words) + ("." if stops and self.rng.random() < 0.9 else "")
+
+    def links(self, mark: str, n: int) -> list[str]:
+        return [f"<a href=x>{self.prose(mark, 4, False)}</a>" for _ in range(n)]
+
+    def content(self) -> list[str]:
+        c, p = self.prose, self.number
+        every = [
+            f"<h2>{c('C', 7, False)}</h2>", f"<ul><li>{c('C', 14)}</li><li>{c('C', 14)}</li><li>{c('C', 4, False)}</li></ul>", f"<blockquote>{c('C', 30)}</blockquote>", f"<p><b>{c('C', 40)}<br><p>{c('C', 30)} <a href=x>{c('', 3)}</a> {c('', 20)}</p>",
+            f"<pre>{c('C', 20)}</pre>", f"<div>{c('C', 30)}</div>", f"<table><tr><td>{c('C', 6, False)}</td><td>{c('C', 6, False)}</td></tr></table>", f"<section><p>{c('C', 60)}</p></section>", f"<figure><figcaption>{c('C', 8)}</figcaption></figure>", f"<p>{c('C', 4)}</p>", f"<ol><li>{c('C', 9)}</li></ol>", f"<dl><dt>{c('C', 3, False)}</dt><dd>{c('C', 15)}</dd></dl>",
+        ]
+        body = [f"<p>{c('C', 90)}</p>" for _ in range(p(1, 9))] + [x for x in every if self.rng.random() < 0.3]
+        self.rng.shuffle(body)
+        return [*([f"<h1>{c('C', 10, False)}</h1>"] if self.rng.random() < 0.8 else []), *body]
+
+    def noise(self, plain: bool) -> str:
+        items = self.links("N", self.number(2, 9))
+        every = [f"<ul>{''.join(f'<li>{a}</li>' for a in items)}</ul>", "<div>" + self.one([" | ", " ", " &middot; "]).join(items) + "</div>", f"<label>{self.prose('N', 4, False)}</label><input><button>{self.prose('', 2, False)}</button>", "".join(f"<div>{a}</div>" for a in items), f"<p>{self.prose('N', 6, False)} {' '.join(items[:3])}</p>"]
+        if not plain:
+            every += [self.prose("N", 14), f"<p>{self.prose('N', 25)}</p>", f"<h3>{self.prose('N', 5, False)}</h3><p>{self.prose('N', 40)}</p><p>{self.prose('N', 20)}</p>", f"<div>{self.prose('N', 20)}</div>"] * 2
+        return self.one(every)
+
+    def wrapped(self, layout: str, inner: str) -> str:
         opening, closing = layout.split("|")
-        if content:
-            inner = [f"<h1>{prose('C', 10)}</h1>", *(f"<p>{prose('C', 90)}</p>" for _ in range(int(rng.integers(1, 9))))]
-            inner += [f"<h2>{prose('C', 6)}</h2><ul><li>{prose('C', 14)}</li><li>{prose('C', 14)}</li></ul>", f"<blockquote>{prose('C', 30)}</blockquote>", f"<p><b>{prose('C', 40)}<br><p>{prose('C', 30)} <a href=x>{prose('', 3)}</a> {prose('', 20)}</p>", f"<pre>{prose('C', 20)}</pre>", f"<div>{prose('C', 30)}</div>", f"<table><tr><td>{prose('C', 6)}</td></tr></table>", f"<section><p>{prose('C', 60)}</p></section>", f"<figure><figcaption>{prose('C', 8)}</figcaption></figure>"][: int(rng.integers(0, 9))]
-            if rng.random() < 0.3:
-                inner.insert(int(rng.integers(1, len(inner) + 1)), part(str(rng.choice(OTHER)), False))
-        else:
-            links = "".join(f"<li><a href=x>{prose('N', 3)}</a></li>" for _ in range(int(rng.integers(2, 8))))
-            inner = [[f"<ul>{links}</ul>"], [prose("N", 14)], [f"<p>{prose('N', 25)}</p>"], [f"<h3>{prose('N', 5)}</h3><p>{prose('N', 40)}</p>", f"<p>{prose('N', 20)}</p>"], [f"<div>{prose('N', 20)}</div>"], [f"<label>{prose('N', 4)}</label><input><button>{prose('', 2)}</button>"]][int(rng.integers(0, 6))]
-        return opening + "".join(inner) + closing
-
-    out = []
-    for _ in range(n):
-        parts = [part(str(x), False) for x in rng.choice(OTHER, int(rng.integers(2, 7)))]
-        parts.insert(int(rng.integers(0, len(parts) + 1)), part(str(rng.choice(CONTENT)), True))
-        wrap = ["", "<div class=wrapper>", "<div id=page class=container>"][int(rng.integers(0, 3))]
-        page = Page(f"<html><body>{wrap}{''.join(parts)}{'</div>' * bool(wrap)}</body></html>")
+        return opening + inner + closing
+
+    def source(self) -> str:
+        kind = self.rng.random()
+        if kind < self.few:  # a few blocks and nothing else
+            if kind < self.few / 3:
+                return self.wrapped(self.one(["|", "<body>|</body>", "<html><body>|</body></html>", "<div>|</div>", "<html><head><title>x</title></head><body>|"]), self.prose("C", self.one([1, 3, 6, 12, 60, 200]), self.rng.random() < 0.5))
+            inner = self.one(["".join(self.content()[: self.number(1, 4)]), self.prose("C", 40), f"<h1>{self.prose('C', 3, False)}</h1><p>{self.prose('C', 4)}</p>", f"<p>{self.prose('C', 3, False)}</p><p>{self.prose('C', 3, False)}</p>", f"<main>{self.prose('C', 3, False)}<ul><li>{'</li><li>'.join(self.links('C', 2))}</li></ul></main>"])
+            return self.wrapped(self.one(["|", "<body>|</body>", "<html><body>|</body></html>", "<div>|</div>"]), inner)
+        named = kind < self.few + self.named
+        body = self.content()
+        if named and self.rng.random() < 0.3:
+            body.insert(self.number(1, len(body) + 1), self.wrapped(self.one(self.others), self.noise(False)))
+        if named and self.rng.random() < 0.3:
+            body.append(f"<ul><li>{'</li><li>'.join(self.links('C', self.number(2, 5)))}</li></ul>")
+        parts = [self.wrapped(self.one(self.others if named else self.plain), self.noise(not named)) for _ in range(self.number(1, 6))]
+        parts.insert(self.number(0, len(parts) + 1), self.wrapped(self.one(self.layouts if named else self.plain), "".join(body)))
+        return self.wrapped(self.one(["|", "<div class=wrapper>|</div>", "<div id=page class=container>|</div>"]), "".join(parts)).join(("<html><body>", "</body></html>"))
+
+    def page(self) -> tuple[Page, list[int]]:
+        page = Page(self.source())
         labels = [-1] * len(page.tag)
         for holder, text in page.blocks:
-            labels[holder] = int(text[0] == "C")
-        for k in range(len(page.tag) - 1, 0, -1):  # an element around content only is content
-            if labels[k] >= 0 and page.tag[page.parent[k]] not in ("body", "html", "root") and not set(page.words[page.parent[k]]) & {"wrapper", "container"}:
-                up = page.parent[k]
-                labels[up] = labels[k] if labels[up] < 0 else max(labels[up], labels[k])
-        out.append((page, [max(0, v) for v in labels]))
-    return out
+            labels[holder] = max(labels[holder], int(text[0] == "C"))
+        for k in range(len(page.tag) - 1, 0, -1):  # an element around content is content
+            up = page.parent[k]
+            if labels[k] >= 0 and page.tag[up] not in ("body", "html", "root") and not set(page.words[up]) & {"wrapper", "container"}:
+                labels[up] = max(labels[up], labels[k])
+        return page, [max(0, v) for v in labels]
+
+
+@lru_cache(maxsize=4)
+def labelled_pages(n: int = 260, seed: int = 5) -> list[tuple[Page, list[int]]]:
+    composer = Composer(seed)
+    return [composer.page() for _ in range(n)]
+
+
+@lru_cache(maxsize=1)
+def default_model() -> Model:
+    """The model fitted to ``labelled_pages``; a process fits it once."""
+    return train(labelled_pages())
 
 
 def extract_main_text(pages: DataFrame, model: Model | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Rows (page_id, url, text, n_chars), one per page."""
-    sent = pages.sparkSession.sparkContext.broadcast(model or train(labelled_pages()))
+    sent = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html", 4 << 20):
