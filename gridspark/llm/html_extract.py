@@ -156,15 +156,15 @@ class Page:
         return features(self.key(n))
 
 
-#: Names of the parts of ``Page.key`` but for the words.
-_NAMES = ("tag", "parent", "link", "uplink", "size", "own", "marks", "alike", "share", "place", "inside", "main", "whole")
+#: Names of the first parts of ``Page.key``; the page's length counts together with others only.
+_NAMES = ("tag", "parent", "link", "uplink", "size", "own", "marks", "alike", "share", "place", "inside", "main")
 
 
 def features(key: tuple) -> list[str]:
     """Features of an element: its tag and its parent's, links and text in it, its place and its likes, and words of both elements' attributes."""
     inside, main, own = key[10], key[11], key[5]
-    joint = [f"inside={inside},main={main}", f"own={own},marks={key[6]}", f"own={own},link={key[2]}", f"place={key[9]},own={own}"]
-    return ["bias", *(f"{n}={v}" for n, v in zip(_NAMES, key, strict=False)), *joint, *(f"word={w}" for w in key[-2]), *(f"up={w}" for w in key[-1])]
+    joint = [f"inside={inside},main={main}", f"whole={key[12]},main={main}", f"whole={key[12]},inside={inside}", f"inside={inside},own={own}", f"own={own},marks={key[6]}", f"own={own},link={key[2]}", f"place={key[9]},own={own}"]
+    return ["bias", *(f"{n}={v}" for n, v in zip(_NAMES, key[:12], strict=True)), *joint, *(f"word={w}" for w in key[-2]), *(f"up={w}" for w in key[-1])]
 
 
 def _log_sum(a: float, b: float) -> float:
@@ -347,12 +347,18 @@ class Composer:
         kind = self.rng.random()
         if kind < self.few:  # a few blocks and nothing else
             if kind < self.few / 3:
+                if self.rng.random() < 0.4:  # with a part that its tag names, inside or outside
+                    small = self.wrapped(self.one([*self.others, "<form>|</form>", "<nav>|</nav>"]), self.one([self.noise(False), self.prose("N", 5, False), f"<label>{self.prose('N', 2, False)}</label>"]))
+                    near = self.one([f"<p>{self.prose('C', 5, False)}</p>", self.prose("C", 6), f"<h1>{self.prose('C', 3)}</h1><p>{self.prose('C', 9)}</p>"])
+                    return self.one([f"<main>{near}{small}</main>", f"<article>{near}{small}</article>", f"<main>{near}</main>{small}", f"{small}<article>{near}</article>", f"<body>{small}<div>{near}</div></body>", f"{small}{near}"])
                 return self.wrapped(self.one(["|", "<body>|</body>", "<html><body>|</body></html>", "<div>|</div>", "<html><head><title>x</title></head><body>|"]), self.prose("C", self.one([1, 3, 6, 12, 60, 200]), self.rng.random() < 0.5))
             inner = self.one(["".join(self.content()[: self.number(1, 4)]), self.prose("C", 40), f"<h1>{self.prose('C', 3, False)}</h1><p>{self.prose('C', 4)}</p>", f"<p>{self.prose('C', 3, False)}</p><p>{self.prose('C', 3, False)}</p>", f"<main>{self.prose('C', 3, False)}<ul><li>{'</li><li>'.join(self.links('C', 2))}</li></ul></main>"])
+            if self.rng.random() < 0.25:  # links that belong to the text
+                inner = self.wrapped(self.one(["<main>|</main>", "<article>|</article>"]), self.one(["", f"<p>{self.prose('C', 12)}</p>", f"<h1>{self.prose('C', 5, False)}</h1>"]) + f"<ul><li>{'</li><li>'.join(self.links('C', self.number(1, 5)))}</li></ul>" + self.one(["", f"<p>{self.prose('C', 12)}</p>"]))
             return self.wrapped(self.one(["|", "<body>|</body>", "<html><body>|</body></html>", "<div>|</div>"]), inner)
         named = kind < self.few + self.named
         body = self.content()
-        if named and self.rng.random() < 0.3:
+        if named and self.rng.random() < 0.5:
             body.insert(self.number(1, len(body) + 1), self.wrapped(self.one(self.others), self.noise(False)))
         if named and self.rng.random() < 0.3:
             body.append(f"<ul><li>{'</li><li>'.join(self.links('C', self.number(2, 5)))}</li></ul>")
@@ -373,7 +379,7 @@ class Composer:
 
 
 @lru_cache(maxsize=4)
-def labelled_pages(n: int = 260, seed: int = 5) -> list[tuple[Page, list[int]]]:
+def labelled_pages(n: int = 1000, seed: int = 5) -> list[tuple[Page, list[int]]]:
     composer = Composer(seed)
     return [composer.page() for _ in range(n)]
 
