@@ -417,7 +417,7 @@ def test_license_labels(spark):
         want = set(filter(None, got[i][1].split(",")))
         for t, own in enumerate(index.own):
             hits = lambda s, own=own, ids=ids: sum(0 <= s + k < len(ids) and ids[s + k] == x for k, x in enumerate(own))
-            if any(hits(s) >= index.need[t] and index.share(ids, t, s) > 0 for s in range(-len(own), len(ids))):
+            if any(hits(s) >= index.need[t] and index.shares(ids, t, np.asarray([s])) > 0 for s in range(-len(own), len(ids))):
                 want.add(index.labels[t])
         assert want <= set(filter(None, got[i][0].split(",")))
     kept = [label in got[i][0].split(",") for i, (label, changed, n) in enumerate(planted) if changed <= 0.1 and n > 8]
