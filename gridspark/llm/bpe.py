@@ -11,13 +11,14 @@ from __future__ import annotations
 import base64
 import os
 import re
+import sys
 from array import array
 from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Entries of a worker's cache; it starts anew when full, so that memory stays bounded.
-CACHE = 400_000
+#: Bytes of a worker's cache, which starts anew when full, and of an entry beside its string; a string beyond the last isn't kept.
+CACHE_BYTES, ENTRY_BYTES, LARGEST = 64 << 20, 130, 4096
 _BEYOND = re.compile("[^\\u0000-\\u024f]")
 
 
@@ -94,13 +95,19 @@ class Counter:
     def __init__(self, path: str, ranks: str, known: dict[str, int] | None = None):
         self.path, self.ranks, self.known = path, ranks, known or {}
         self.cache: dict[str, int] = {}
+        self.held = 0  # bytes of the cache
 
     def _missed(self, piece: str) -> int:
         n = self.cache.get(piece)
         if n is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            n = self.cache[piece] = len(encoded(piece, self.path, self.ranks))
+            n = len(encoded(piece, self.path, self.ranks))
+            size = sys.getsizeof(piece)
+            if size <= LARGEST:
+                if self.held + size + ENTRY_BYTES > CACHE_BYTES:
+                    self.cache.clear()
+                    self.held = 0
+                self.cache[piece] = n
+                self.held += size + ENTRY_BYTES
         return n
 
     def count(self, text: str) -> int:

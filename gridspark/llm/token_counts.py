@@ -2,7 +2,7 @@
 
 Every text is cut into the tokenizer's pre-tokens. Tier one is a compact table of the frequent ones' token lengths, broadcast
 once: all pre-tokens in one string, with their lengths in characters and tokens, at most ``table_size`` whatever the input.
-Tier two is each worker's own cache of what it has encoded, bounded and started anew when full. No pre-token is ever
+Tier two is each worker's own cache of what it has encoded, bounded in bytes and started anew when full. No pre-token is ever
 shuffled; what the table holds changes speed, never counts.
 
 Defined cases: a null text is empty and has 0 tokens; strings of special tokens count as the library's default has it;
