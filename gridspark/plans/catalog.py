@@ -309,7 +309,7 @@ def unit_conversion(t):
 @_query("SELECT s_suppkey, n_name AS country, r_name AS area FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def zone_to_country(t):
     nation, region = t("nation"), t("region")
-    joined = t("supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"), "left").join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    joined = t("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return joined.select("s_suppkey", F.col("n_name").alias("country"), F.col("r_name").alias("area"))
 
 
@@ -342,7 +342,7 @@ def stamp_and_fill(t):
 @_query(f"SELECT n_name, mktsegment, n, CAST(price AS DOUBLE) AS price, CAST(tax AS DOUBLE) / nullif(CAST(price AS DOUBLE), 0) AS share FROM (SELECT n_name, c_mktsegment AS mktsegment, count(*) AS n, sum(o_totalprice) AS price, sum(li) AS tax FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (SELECT l_orderkey, sum(l_extendedprice) AS li FROM lineitem GROUP BY ALL) ON l_orderkey = o_orderkey GROUP BY ALL)", digits="price share")
 def dashboard_view(t):
     lines = t("lineitem").groupBy("l_orderkey").agg(ts.total("l_extendedprice").alias("li"))
-    rows = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    rows = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     price = ts.total("o_totalprice")
     return rows.groupBy("n_name", F.col("c_mktsegment").alias("mktsegment")).agg(F.count("*").alias("n"), price.alias("price"), (F.sum("li").cast("double") / F.nullif(price, F.lit(0.0))).alias("share"))
 

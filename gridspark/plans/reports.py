@@ -104,7 +104,7 @@ ASKED = ["NATION_1", "NATION_7", "NATION_20", "NATION_99"]
 def natural_key_lookup(t):
     nation = t("nation")
     asked = nation.sparkSession.createDataFrame([(n,) for n in ASKED], "n_name string")
-    found, missing = rp.resolve(F.broadcast(asked), "n_name", nation, "n_nationkey")
+    found, missing = rp.resolve(asked, "n_name", nation, "n_nationkey")
     per_nation = t("supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("suppliers"))
     counted = found.join(per_nation, "n_nationkey", "left").withColumn("is_missing", F.lit(False))
     return counted.unionByName(missing.withColumn("is_missing", F.lit(True)), allowMissingColumns=True).fillna({"suppliers": 0})

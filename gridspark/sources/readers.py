@@ -78,7 +78,7 @@ def archive_rows(spark, path: str, zones: DataFrame, registry: dict[str, tuple[s
     part = lambda k: F.regexp_extract(name, r"^weather_nwp_(?:(.+)_)?day(\d+)_zones_", k)
     raw = spark.read.option("header", True).csv(path).select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at"), F.coalesce(F.nullif(part(1), F.lit("")), F.lit("best_match")).alias("model"), part(2).try_cast("int").alias("lead"))
     widest = widest_files(raw.filter("lead is not null").select("model", "lead", "path").distinct(), ["model", "lead"])
-    rows = raw.join(F.broadcast(widest.select("path")), "path", "left_semi").withColumn("valid_at", instant(F.col(time_col)).cast("timestamp_ntz"))
+    rows = raw.join(widest.select("path"), "path", "left_semi").withColumn("valid_at", instant(F.col(time_col)).cast("timestamp_ntz"))
     rows = decimate(rows, "valid_at").join(zones, zone_col)
     known = {v: how for v, how in registry.items() if v in raw.columns}
     return convert_units(rows.withColumns({v: F.col(v).try_cast("double") for v in known}), known).drop(time_col, "path")
