@@ -11,7 +11,8 @@ Everything after the one shuffle of the texts stays in its partition: the rows o
 
 Defined cases: a null text is empty; empty texts have one empty paragraph; the likeness is 1 - differing / all paragraphs,
 counted with repetition, so equal texts have 1; repeated rows are documents of their own and stand beside each other in the
-order; a null id comes last; columns other than the named ones are ignored.
+order; a null id comes last, in the order of a hash of the text; columns other than the named ones are ignored. Cells are
+64-bit sums: a text may repeat one paragraph some eight million times before the sum of its digests is an error.
 """
 
 from __future__ import annotations
@@ -86,8 +87,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
-    count = ids.count()
-    ranges = max(1, count // max(bucket_rows, count // most_ranges))
+    count, nulls = ids.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    each = max(bucket_rows, count // most_ranges)
+    ranges, null_ranges = max(1, count // each), max(1, nulls // each)
     coarse = min(ranges, 64)
     edges = ids.agg(F.percentile_approx("doc_id", [i / coarse for i in range(coarse + 1)], 10_000).alias("q")).first()["q"] or [0, 0]
     edges = sorted(set(edges), reverse=True)  # at most 65 numbers; each range between two of them is cut evenly
@@ -97,8 +99,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     at = F.least(F.greatest(F.size(F.filter(top, lambda e: e >= F.col("doc_id"))), F.lit(1)), F.lit(len(edges) - 1))
     high, low = F.element_at(top, at), F.element_at(top, at + 1)
     inner = F.least(F.greatest(F.floor((high - F.col("doc_id")) / (high - low) * fine), F.lit(0)), F.lit(fine - 1))
-    bucket = F.when(F.col("doc_id").isNull(), len(edges) * fine).otherwise((at - 1) * fine + inner).cast("int")
-    rows = rows.withColumn("bucket", bucket).withColumn("mark", F.xxhash64("text"))
+    # rows without an id stand in the order of their marks, which are spread evenly
+    by_mark = F.least(F.floor((F.lit(2.0**63) - F.col("mark")) / 2.0**64 * null_ranges), F.lit(null_ranges - 1))
+    bucket = F.when(F.col("doc_id").isNull(), len(edges) * fine + by_mark).otherwise((at - 1) * fine + inner).cast("int")
+    rows = rows.withColumn("mark", F.xxhash64("text")).withColumn("bucket", bucket)
     firsts = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "mark")).alias("first"))  # a row for each range
     ring = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     step = Window.partitionBy(F.lit(0)).orderBy("bucket")
@@ -107,7 +111,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     copies = rows.join(F.broadcast(firsts), (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark")))
     copies = copies.select("doc_id", "text", F.col("before").alias("bucket"), "mark").dropDuplicates(["bucket", "doc_id", "mark"])
     both = rows.withColumn("copy", F.lit(0)).unionByName(copies.withColumn("copy", F.lit(1)))
-    parts = max(1, ranges, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, ranges + null_ranges, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = Window.partitionBy("bucket").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("mark"))
     seen = both.repartition(parts, "bucket").withColumn("next_text", F.lead("text").over(order)).withColumn("place", F.row_number().over(order))
     key = (F.col("bucket").cast("long") * (1 << 40) + F.col("place")).alias("key")

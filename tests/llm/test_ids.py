@@ -44,3 +44,22 @@ def test_null_and_shared_ids_do_not_join_documents(spark):
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.similarity_classes(frame).collect())
     assert got == components_of(rows)
     assert got[(1, 57, 1)] and got[(2, 57, 2)] and got[(3, 57, 3)] and got[(4, 57, 4)]
+
+
+def test_rows_without_ids_stand_in_several_ranges(spark):
+    """Next texts by descending id, then by descending hash of the text, whatever the ranges are."""
+    from pyspark.sql import functions as F
+
+    from gridspark.llm import fingerprints
+
+    rows = [(k if k % 3 else None, f"text number {k}" if k % 10 else "the same text") for k in range(300)] + [(5, None), (None, ""), (5, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marked = frame.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("mark", F.xxhash64("text")).collect()
+    order = sorted(marked, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), -r["mark"]))
+    want = Counter((r["doc_id"], r["text"], order[(k + 1) % len(order)]["text"]) for k, r in enumerate(order))
+    for size in (4000, 20):
+        found = fingerprints.with_next(frame, bucket_rows=size)
+        assert Counter((r["doc_id"], r["text"], r["next_text"]) for r in found.collect()) == want
+        if size == 20:
+            held = found.filter("doc_id is null").groupBy(F.floor(F.col("key") / (1 << 40))).count()
+            assert held.count() >= 4
