@@ -300,7 +300,8 @@ class Composer:
     """Labelled pages from layouts. A block's first letter is its label: C for content, N for anything else.
 
     Half of the pages name their parts by tags, classes and roles; the others don't, and hold only what can be told by its form
-    beside the content: lists and rows of links, forms, buttons, short notices. Some pages are nothing but a few blocks.
+    beside the content: lists and rows of links, forms, buttons, short notices. What stands beside a named article is none of it,
+named or not. Some pages are nothing but a few blocks.
     """
 
     def __init__(self, seed: int, content: list[str] | None = None, other: list[str] | None = None, plain: list[str] | None = None, named: float = 0.35, few: float = 0.3):
@@ -363,7 +364,10 @@ class Composer:
         if named and self.rng.random() < 0.3:
             body.append(f"<ul><li>{'</li><li>'.join(self.links('C', self.number(2, 5)))}</li></ul>")
         parts = [self.wrapped(self.one(self.others if named else self.plain), self.noise(not named)) for _ in range(self.number(1, 6))]
-        parts.insert(self.number(0, len(parts) + 1), self.wrapped(self.one(self.layouts if named else self.plain), "".join(body)))
+        layout = self.one(self.layouts if named else self.plain)
+        if layout.startswith(("<article", "<main")) and self.rng.random() < 0.6:  # what stands beside a named article needs no name
+            parts += [self.wrapped(self.one(self.plain), self.noise(False)) for _ in range(self.number(1, 3))]
+        parts.insert(self.number(0, len(parts) + 1), self.wrapped(layout, "".join(body)))
         return self.wrapped(self.one(["|", "<div class=wrapper>|</div>", "<div id=page class=container>|</div>"]), "".join(parts)).join(("<html><body>", "</body></html>"))
 
     def page(self) -> tuple[Page, list[int]]:

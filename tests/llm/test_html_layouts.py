@@ -23,6 +23,7 @@ LONG = ["These are some long words that make up a sentence. " * 6, "Here are mor
         ("<main><ul><li><a href=a>first link</a></li><li><a href=b>second link</a></li></ul></main>", "first link\nsecond link"),
         ("<main><p>See these two pages of ours for the rest.</p><ul><li><a href=a>first link</a></li><li><a href=b>second link</a></li></ul></main>", "See these two pages of ours for the rest.\nfirst link\nsecond link"),
         ("<header>Head</header><main><p>Body text</p><form><label>Name</label></form></main><div class='cookie notice'>We use cookies</div>", "Body text"),
+        (f"<article><p>{LONG[0]}</p></article><div>Buy this thing now, it is good.</div>", LONG[0].strip()),
         (f"<main><p>{LONG[0]}</p><ul><li><a href=a>first link</a></li><li><a href=b>second link</a></li></ul></main>", f"{LONG[0].strip()}\nfirst link\nsecond link"),
     ],
 )
