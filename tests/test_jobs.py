@@ -212,6 +212,21 @@ def test_repairs(spark):
     assert sorted((r.from_ts.day, r.rows_before, r.recovered) for r in maintenance.recovery(windows, more, ["k"], "ts").collect()) == [(1, 2, 1), (2, 2, 0)]
 
 
+def test_rows_in_windows_whatever_the_order_of_each_computation(spark):
+    def shuffled(parts):
+        for part in parts:
+            yield part.sample(frac=1, random_state=int.from_bytes(os.urandom(4), "big"))
+
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    df = spark.createDataFrame([(k, at(h)) for k in range(40) for h in range(k + 1)] + [(None, at(1))], "k long, ts timestamp")
+    bounds = [(k, at(0), at(100), f"w{k}") for k in range(40)] * 2 + [(3, at(1), at(2), "inside"), (99, at(0), at(100), "no rows"), (None, at(0), at(100), "no key")]
+    windows = spark.createDataFrame(bounds, "k long, from_ts timestamp, to_ts timestamp, name string")
+    windows = windows.mapInPandas(shuffled, windows.schema)
+    found = maintenance.rows_in_windows(df, windows, ["k"], "ts", "n")
+    assert found.columns == ["k", "from_ts", "to_ts", "name", "n"]
+    assert sorted((r.name, r.n) for r in found.collect()) == sorted([(f"w{k}", k + 1) for k in range(40)] * 2 + [("inside", 2), ("no rows", 0), ("no key", 0)])
+
+
 def test_revision_study_by_modes(spark):
     rows = [("a", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), dt.datetime(2024, 2, 20), 3.0 if h < 800 else 1.0, 1.0, 2.0) for h in range(1200)]
     df = spark.createDataFrame(rows, "k string, target timestamp, clock timestamp, v double, r double, o double")
